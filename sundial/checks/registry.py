@@ -23,13 +23,18 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
+def nudge(digits: int) -> float:
+    """Added before rounding in both engines, so that exact halves are not on a rounding edge."""
+    return 2.718281 * 10.0 ** -(digits + 1)
+
+
 def comparable(df: DataFrame, digits: int) -> DataFrame:
     """Doubles rounded, days as text, whole numbers as bigint: the same form in both engines."""
 
     def form(name: str, kind: str):
         column = F.col(f"`{name}`")
         if kind in ("double", "float") or kind.startswith("decimal"):
-            return F.round(column.cast("double"), digits) + F.lit(0.0)
+            return F.round(column.cast("double") + F.lit(nudge(digits)), digits) + F.lit(0.0)
         if kind in INTEGERS:
             return column.cast("bigint")
         return column.cast("string")
@@ -44,7 +49,7 @@ def comparable_sql(sql: str, tables: list[str], doubles: str, texts: str, whole:
         parts.append(f"CAST(COLUMNS(lambda c: regexp_full_match(c, '{texts}')) AS VARCHAR)")
     if doubles:
         own = f"regexp_full_match(c, '{doubles}')" + (f" AND NOT regexp_full_match(c, '{texts}')" if texts else "")
-        parts.append(f"round(CAST(COLUMNS(lambda c: {own}) AS DOUBLE), {digits}) + 0.0")
+        parts.append(f"round(CAST(COLUMNS(lambda c: {own}) AS DOUBLE) + {nudge(digits):.12f}, {digits}) + 0.0")
     if whole:
         known = "|".join(p for p in (texts, doubles) if p)
         test = f"NOT regexp_full_match(c, '{known}')" if known else "true"

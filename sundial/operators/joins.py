@@ -11,6 +11,9 @@ from sundial.functions.dates import DateLike, day, eligible_sunday, sunday_on_or
 from sundial.operators.columns import decimals_to_double
 
 BROADCAST_ROWS = 2_000_000
+# A key with more rows than this is split into this many parts in `hot_key_join`.
+HOT_ROWS = 1_000_000
+HOT_PARTS = 256
 
 
 def within_rows(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
@@ -31,12 +34,32 @@ def lookup(df: DataFrame, dimension: DataFrame, on: str | list[str], how: str =
     return df.join(dimension, on, how)
 
 
+def hot_key_join(left: DataFrame, right: DataFrame, key: str, spread: list[str], how: str = "inner",
+                 hot_rows: int = HOT_ROWS, hot: DataFrame | None = None) -> DataFrame:
+    """Equi join of a large table with one that is unique on the key, safe when one key is huge.
+
+    Keys with more than `hot_rows` left rows are found by a combined count over the key column
+    alone; there can be at most rows / `hot_rows` of them, so that list may be broadcast. Only
+    they are split: their left rows by a hash of `spread`, their right row once per part.
+    """
+    if hot is None:
+        counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+        hot = counts.filter(F.col("__rows") > hot_rows).select(key)
+    hot = F.broadcast(hot.withColumn("__hot", F.lit(True)))
+    part = F.when(F.col("__hot"), F.pmod(F.xxhash64(*spread), F.lit(HOT_PARTS)).cast("int")).otherwise(0)
+    parts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(HOT_PARTS - 1))).otherwise(F.array(F.lit(0)))
+    split = left.join(hot, key, "left").withColumn("__part", part).drop("__hot")
+    copied = right.join(hot, key, "left").withColumn("__part", F.explode(parts)).drop("__hot")
+    return split.join(copied, [key, "__part"], how).drop("__part")
+
+
 def current_activation(events: DataFrame, activated: DataFrame, key: str = "phone_number",
                        date: str = "date", since: str = "last_activated_date",
                        strict: bool = False) -> DataFrame:
-    """Rows of the subscriber's current activation only."""
+    """Rows of the subscriber's current activation only; `activated` has one row per subscriber."""
     test = F.col(date) > F.col(since) if strict else F.col(date) >= F.col(since)
-    return events.join(activated.select(key, since), key).filter(test).drop(since)
+    spread = [c for c in events.columns if c != key]
+    return hot_key_join(events, activated.select(key, since), key, spread).filter(test).drop(since)
 
 
 def present_in(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
