@@ -6,7 +6,6 @@ import math
 import random
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from sundial.functions.dates import DateLike, day, month_label
 from sundial.operators.columns import fill_missing
 from sundial.operators.ordering import top_n
 from sundial.operators.sequences import running_totals
+from sundial.session import cut_lineage
 
 NOISE = "__noise__"
 
@@ -236,54 +236,63 @@ def paired_statistics(results: DataFrame) -> DataFrame:
     return t.join(sums, "feature", "left")
 
 
-def _t_tail(t: float, freedom: int) -> float:
-    """Two-sided p-value of Student's t: numerical integral of the density beyond |t|."""
-    if math.isnan(t) or freedom < 1:
-        return math.nan
-    # with x = tan(u) * sqrt(freedom) the density becomes cos(u)^(freedom - 1), bounded on [0, pi / 2)
-    scale = 2 * math.exp(math.lgamma((freedom + 1) / 2) - math.lgamma(freedom / 2)) / math.sqrt(math.pi)
-    start, steps = math.atan(abs(t) / math.sqrt(freedom)), 2_000
-    width = (math.pi / 2 - start) / steps
-    heights = [math.cos(start + i * width) ** (freedom - 1) for i in range(steps)] + [1.0 if freedom == 1 else 0.0]
-    simpson = heights[0] + heights[-1] + 4 * sum(heights[1:-1:2]) + 2 * sum(heights[2:-1:2])
-    return min(1.0, scale * simpson * width / 3)
+def simpson(height, low: Column, high: Column, steps: int = 1_000) -> Column:
+    """Numerical integral of a column function, evaluated inside the row."""
+    width = (high - low) / float(steps)
 
+    def weighted(total: Column, i: Column) -> Column:
+        weight = F.when((i == 0) | (i == steps), 1.0).when(i % 2 == 1, 4.0).otherwise(2.0)
+        return total + weight * height(low + width * i)
 
-def _rank_sum_tail(smaller: float, n: int, exact: bool, tie_term: float) -> float:
-    """Two-sided p-value of the signed-rank statistic: exact when possible, else normal."""
-    if n == 0:
-        return math.nan
-    if exact:
-        ways = [1] + [0] * (n * (n + 1) // 2)
-        for rank in range(1, n + 1):
-            for total in range(len(ways) - 1, rank - 1, -1):
-                ways[total] += ways[total - rank]
-        return min(1.0, 2 * sum(ways[: int(smaller) + 1]) / 2**n)
-    spread = math.sqrt((n * (n + 1) * (2 * n + 1) - tie_term / 2) / 24)
-    return math.erfc(abs(smaller - n * (n + 1) / 4) / spread / math.sqrt(2)) if spread else math.nan
+    return F.aggregate(F.sequence(F.lit(0), F.lit(steps)), F.lit(0.0), weighted) * width / 3.0
 
 
-@F.pandas_udf("double")
-def t_p_value(t: pd.Series, n: pd.Series) -> pd.Series:
-    return pd.Series([_t_tail(float("nan") if pd.isna(a) else float(a), int(b) - 1) for a, b in zip(t, n)])
+def t_p_value(t: Column, freedom: Column) -> Column:
+    """Two-sided p-value of Student's t.
 
+    With t = tan(u) * sqrt(freedom) the density is proportional to cos(u) ^ (freedom - 1), bounded
+    on [0, pi / 2], so the tail is a ratio of two integrals and needs no gamma function.
+    """
+    end = F.lit(math.pi / 2)
+    start = F.atan(F.abs(t) / F.sqrt(freedom.cast("double")))
+
+    def density(u: Column) -> Column:
+        return F.pow(F.greatest(F.cos(u), F.lit(0.0)), freedom - 1)
+
+    return F.when(t.isNotNull() & (freedom >= 1), F.try_divide(simpson(density, start, end), simpson(density, F.lit(0.0), end)))
+
+
+def rank_p_value(plus: Column, minus: Column, nonzero: Column, n: Column, tie_term: Column, exact_up_to: int = 50) -> Column:
+    """Two-sided p-value of the signed-rank statistic: exact without ties and zeros, else normal."""
+    smaller = F.least(plus, minus)
+    size = (nonzero * (nonzero + 1) / 2).cast("int") + 1
+    start = F.concat(F.array(F.lit(1.0)), F.array_repeat(F.lit(0.0), size - 1))
+
+    def with_rank(ways: Column, rank: Column) -> Column:
+        moved = F.concat(F.array_repeat(F.lit(0.0), rank), F.slice(ways, F.lit(1), F.size(ways) - rank))
+        return F.zip_with(ways, moved, lambda a, b: a + b)
 
-@F.pandas_udf("double")
-def rank_p_value(plus: pd.Series, minus: pd.Series, nonzero: pd.Series, n: pd.Series, tie_term: pd.Series) -> pd.Series:
-    return pd.Series([
-        math.nan if pd.isna(m) else _rank_sum_tail(min(a, b), int(m), m == k and m <= 50 and t == 0, t)
-        for a, b, m, k, t in zip(plus, minus, nonzero, n, tie_term)])
+    ways = F.aggregate(F.sequence(F.lit(1), nonzero.cast("int")), start, with_rank)
+    below = F.aggregate(F.slice(ways, F.lit(1), smaller.cast("int") + 1), F.lit(0.0), lambda a, b: a + b)
+    exact = F.least(F.lit(1.0), below * 2.0 / F.pow(F.lit(2.0), nonzero))
+    spread = F.sqrt((nonzero * (nonzero + 1) * (nonzero * 2 + 1) - tie_term / 2.0) / 24.0)
+    z = F.abs(F.try_divide(smaller - nonzero * (nonzero + 1) / 4.0, spread))
+    normal = simpson(lambda x: F.exp(-x * x / 2.0), z, z + 12.0) * (2.0 / math.sqrt(2 * math.pi))
+    is_exact = (nonzero == n) & (nonzero <= exact_up_to) & (tie_term == 0)
+    return F.when(nonzero > 0, F.when(is_exact, exact).otherwise(F.least(F.lit(1.0), normal)))
 
 
 def p_values(results: DataFrame) -> DataFrame:
     """Paired t and signed-rank p-values, one row per feature; null when all gaps are equal."""
     rows = paired_statistics(results)
-    values = rows.select("feature", t_p_value("t", "n").alias("t"), rank_p_value("w_plus", "w_minus", "n_nonzero", "n", "tie_term").alias("w"))
-    return values.select("feature", F.when(~F.isnan("t"), F.col("t")).alias("p_value_ttest"), F.when(~F.isnan("w"), F.col("w")).alias("p_value_wilcoxon"))
+    c = F.col
+    return rows.select("feature", t_p_value(c("t"), c("n") - 1).alias("p_value_ttest"),
+                       F.when(c("t").isNotNull(), rank_p_value(c("w_plus"), c("w_minus"), c("n_nonzero"), c("n"), c("tie_term"))).alias("p_value_wilcoxon"))
 
 
 def experiment_metrics(results: DataFrame, resamples: int = 10_000) -> DataFrame:
-    """All metrics of every feature."""
+    """All metrics of every feature; the results have one row per feature and experiment."""
+    results = cut_lineage(results)
     frames = [dominance(results), bootstrap_interval(results, resamples), p_values(results)]
     metrics = gap_metrics(results)
     for frame in frames:

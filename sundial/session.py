@@ -24,14 +24,15 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the folder the cluster names; without one the plan is left as it is.
+    """Compute a shared intermediate once, in the checkpoint folder the cluster names.
 
-    The data outlives a lost executor because it is written to shared storage.
+    The data outlives a lost executor because it is on shared storage. Without such a folder the
+    table is only kept in memory and on disk, and lost parts are computed again.
     """
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        return df
+        return df.persist()
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
