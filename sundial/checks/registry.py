@@ -6,7 +6,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sundial.checks.fixtures import Fixtures, ctes
 
@@ -31,15 +30,12 @@ def nudge(digits: int) -> float:
 def comparable(df: DataFrame, digits: int) -> DataFrame:
     """Doubles rounded, days as text, whole numbers as bigint: the same form in both engines."""
 
-    def form(name: str, kind: str):
-        column = F.col(f"`{name}`")
+    def form(name: str, kind: str) -> str:
         if kind in ("double", "float") or kind.startswith("decimal"):
-            return F.round(column.cast("double") + F.lit(nudge(digits)), digits) + F.lit(0.0)
-        if kind in INTEGERS:
-            return column.cast("bigint")
-        return column.cast("string")
+            return f"round(CAST(`{name}` AS DOUBLE) + {nudge(digits):.12f}D, {digits}) + 0.0D AS `{name}`"
+        return f"CAST(`{name}` AS {'BIGINT' if kind in INTEGERS else 'STRING'}) AS `{name}`"
 
-    return df.select([form(name, kind).alias(name) for name, kind in df.dtypes])
+    return df.selectExpr(*[form(name, kind) for name, kind in df.dtypes])
 
 
 def comparable_sql(sql: str, tables: list[str], doubles: str, texts: str, whole: bool, digits: int) -> str:

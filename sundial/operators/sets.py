@@ -41,17 +41,14 @@ def entropy(column: str, digits: int = 6) -> Column:
     With S = sum(x) it equals log2(S) - sum(x * log2(x)) / S, so two sums are enough: no window
     over the group and full map-side combining, however large one group is.
     """
-    x = F.col(column).cast("double")
-    total = F.sum(x)
-    weighted = F.sum(F.when(x > 0, x * F.log2(x)).otherwise(0.0))
-    bits = F.when(total > 0, F.log2(total) - F.try_divide(weighted, total)).otherwise(0.0)
-    return F.round(F.coalesce(bits, F.lit(0.0)), digits) + F.lit(0.0)
+    x = f"CAST({column} AS DOUBLE)"
+    total, weighted = f"sum({x})", f"sum(CASE WHEN {x} > 0 THEN {x} * log2({x}) ELSE 0D END)"
+    bits = f"CASE WHEN {total} > 0 THEN log2({total}) - {weighted} / {total} ELSE 0D END"
+    return F.expr(f"round(coalesce({bits}, 0D), {digits}) + 0D")
 
 
-STATISTICS = {
-    "min": F.min, "max": F.max, "avg": F.avg, "std": F.stddev,
-    "skewness": F.skewness, "kurtosis": F.kurtosis, "entropy": entropy, "sum": F.sum,
-}
+# SQL aggregates by the statistic's name in a column.
+STATISTICS = {"min": "min", "max": "max", "avg": "avg", "std": "stddev", "skewness": "skewness", "kurtosis": "kurtosis", "sum": "sum"}
 
 
 def statistic_columns(columns: list[str], statistics: dict[str, list[str]]) -> list[Column]:
@@ -65,7 +62,8 @@ def statistic_columns(columns: list[str], statistics: dict[str, list[str]]) -> l
             parts = split_window(column)
             if parts is None or any(part in column for part in excluded):
                 continue
-            result.append(STATISTICS[name](column).alias(f"{parts[0]}_{name}_{parts[1]}"))
+            value = entropy(column) if name == "entropy" else F.expr(f"{STATISTICS[name]}({column})")
+            result.append(value.alias(f"{parts[0]}_{name}_{parts[1]}"))
     return result
 
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sundial.functions.dates import DateLike, as_date, day, days_since
+from sundial.functions.dates import DateLike, as_date, days_since
 from sundial.functions.numbers import safe_ratio
 from sundial.functions.texts import category_or_unmapped
 from sundial.operators.aggregates import latest_value
@@ -85,28 +85,24 @@ def pair_activity(history: DataFrame, names: EntityNames, snapshot: DateLike,
     if names.days:
         partial.append(F.sum("device_num_day_l1w").alias("__days"))
     daily = history.groupBy(PHONE, names.entity, "date").agg(*partial)
-    aggregates: list[Column] = []
+    aggregates = []
     for window in last(*weeks):
-        inside = window.contains(F.col("date"), snapshot)
-        events = F.coalesce(F.sum(F.when(inside, F.col("__events"))), F.lit(0))
-        aggregates.append(events.alias(f"{names.events or '__events'}_{window.name}"))
-        aggregates.append(F.count(F.when(inside, F.col("date"))).alias(f"{names.weeks}_{window.name}"))
+        inside, w = window.sql("date", snapshot), window.name
+        aggregates.append(f"coalesce(sum(__events) FILTER (WHERE {inside}), 0) AS {names.events or '__events'}_{w}")
+        aggregates.append(f"count(date) FILTER (WHERE {inside}) AS {names.weeks}_{w}")
         if names.days:
-            aggregates.append(F.sum(F.when(inside, F.col("__days"))).alias(f"{names.days}_{window.name}"))
+            aggregates.append(f"sum(__days) FILTER (WHERE {inside}) AS {names.days}_{w}")
     if names.sets:
         for window in last_and_previous(*weeks[:-1]):
-            inside = window.contains(F.col("date"), snapshot)
-            aggregates.append(F.max(F.when(inside, True)).alias(f"__in_{window.name}"))
-    return daily.groupBy(PHONE, names.entity).agg(*aggregates)
+            aggregates.append(f"coalesce(max({window.sql('date', snapshot)}), false) AS __in_{window.name}")
+    return daily.groupBy(PHONE, names.entity).agg(*map(F.expr, aggregates))
 
 
 def shared_counts(pairs: DataFrame, names: EntityNames, weeks: tuple[int, ...] = WINDOW_WEEKS) -> DataFrame:
     """Subscribers per entity for every window, from the pair table."""
     events = names.events or "__events"
-    return pairs.groupBy(names.entity).agg(*[
-        F.count(F.when(F.col(f"{events}_{w.name}") > 0, F.col(PHONE))).alias(f"{names.shared}_{w.name}")
-        for w in last(*weeks)
-    ], F.count(F.lit(1)).alias("__pairs"))
+    counts = [f"count({PHONE}) FILTER (WHERE {events}_{w.name} > 0) AS {names.shared}_{w.name}" for w in last(*weeks)]
+    return pairs.groupBy(names.entity).agg(*map(F.expr, counts), F.count(F.lit(1)).alias("__pairs"))
 
 
 def entity_features(history: DataFrame, names: EntityNames, snapshot: DateLike,
@@ -134,9 +130,7 @@ def entity_features(history: DataFrame, names: EntityNames, snapshot: DateLike,
         statistics["entropy"] = []
     aggregates = statistic_columns(windowed, statistics)
     events = names.events or "__events"
-    for window in last(*weeks):
-        aggregates.append(F.count(F.when(F.col(f"{events}_{window.name}") > 0, F.col(names.entity)))
-                          .alias(f"{names.distinct}_{window.name}"))
+    aggregates += [F.expr(f"count({names.entity}) FILTER (WHERE {events}_{w.name} > 0) AS {names.distinct}_{w.name}") for w in last(*weeks)]
     if names.sets:
         aggregates += _overlap_counts(names, weeks[:-1])
     return rows.groupBy(PHONE).agg(*aggregates)
@@ -145,13 +139,11 @@ def entity_features(history: DataFrame, names: EntityNames, snapshot: DateLike,
 def _overlap_counts(names: EntityNames, weeks: tuple[int, ...]) -> list[Column]:
     result = []
     for n in weeks:
-        known = F.col(names.entity).isNotNull()
-        current = F.coalesce(F.col(f"__in_l{n}w"), F.lit(False)) & known
-        history = F.coalesce(F.col(f"__in_l{2 * n}w_to_l{n}w"), F.lit(False)) & known
-        either = F.count_if(current | history)
-        for label, part in (("intersection_ratio", current & history), ("except_ratio", current & ~history)):
-            share = F.try_divide(F.count_if(part).cast("double"), either)
-            result.append(F.round(F.coalesce(share, F.lit(0.0)), 6).alias(f"{names.sets}_{label}_l{n}w"))
+        known, current, history = f"{names.entity} IS NOT NULL", f"__in_l{n}w", f"__in_l{2 * n}w_to_l{n}w"
+        either = f"count_if({known} AND ({current} OR {history}))"
+        for label, part in (("intersection_ratio", f"{current} AND {history}"), ("except_ratio", f"{current} AND NOT {history}")):
+            share = f"try_divide(CAST(count_if({known} AND {part}) AS DOUBLE), {either})"
+            result.append(F.expr(f"round(coalesce({share}, 0D), 6) AS {names.sets}_{label}_l{n}w"))
     return result
 
 
@@ -222,42 +214,32 @@ def behaviour_features(history: DataFrame, device: str, label: str, snapshot: Da
     carries what every statistic needs. Window, group and subscriber levels use one shuffle.
     """
     rows = device_sequence(history, device)
-    is_current = F.col("device") == F.col("current_device")
-    group, final = [F.first("device").alias("__device")], []
+    group, final = ["first(device) AS __device"], []
     for window in last(*weeks):
-        w = window.name
-        inside = window.contains(F.col("date"), snapshot)
-        switched = inside & (F.col("is_switch") == 1)
-        gap = F.when(switched & window.contains(F.col("previous_switch"), snapshot),
-                     F.datediff("date", "previous_switch") / 7.0)
+        w, inside = window.name, window.sql("date", snapshot)
+        current = f"{inside} AND device = current_device"
+        gap = f"CASE WHEN {inside} AND is_switch = 1 AND {window.sql('previous_switch', snapshot)} THEN datediff(date, previous_switch) / 7.0D END"
         group += [
-            F.count(F.when(inside, F.col("date"))).alias(f"__rows_{w}"),
-            F.count(F.when(inside & is_current, F.col("date"))).alias(f"__current_{w}"),
-            F.min(F.when(inside & is_current, F.col("date"))).alias(f"__first_{w}"),
-            F.max(F.when(inside & is_current, F.col("date"))).alias(f"__last_{w}"),
-            F.sum(F.when(inside, F.col("is_switch"))).alias(f"__switches_{w}"),
-            F.max(gap).alias(f"switch_{label}_gap_{w}"),
-        ]
-        first, newest = F.min(f"__first_{w}"), F.max(f"__last_{w}")
+            f"count(date) FILTER (WHERE {inside}) AS __rows_{w}", f"count(date) FILTER (WHERE {current}) AS __current_{w}",
+            f"min(date) FILTER (WHERE {current}) AS __first_{w}", f"max(date) FILTER (WHERE {current}) AS __last_{w}",
+            f"sum(is_switch) FILTER (WHERE {inside}) AS __switches_{w}", f"max({gap}) AS switch_{label}_gap_{w}"]
+        active, seen = f"sum(__current_{w})", f"sum(__rows_{w})"
+        name = f"device_current_{label}"
         final += [
-            F.sum(f"__current_{w}").alias(f"device_current_{label}_active_weeks_{w}"),
-            F.size(F.collect_set(F.when(F.col(f"__rows_{w}") > 0, F.col("__device")))).alias(f"device_current_{label}_distinct_count_{w}"),
-            safe_ratio(F.sum(f"__current_{w}"), F.sum(f"__rows_{w}")).alias(f"device_current_{label}_active_ratio_{w}"),
-            F.datediff(newest, first).alias(f"device_current_{label}_active_span_{w}"),
-            days_since(newest, snapshot).alias(f"device_current_{label}_days_since_last_seen_{w}"),
-            F.sum(f"__switches_{w}").alias(f"device_switch_{label}_count_{w}"),
-            F.max(f"__rows_{w}").alias(f"device_max_streak_any_{label}_week_{w}"),
-            F.max(f"__current_{w}").alias(f"device_max_streak_current_{label}_week_{w}"),
-        ]
+            f"{active} AS {name}_active_weeks_{w}",
+            f"size(collect_set(__device) FILTER (WHERE __rows_{w} > 0)) AS {name}_distinct_count_{w}",
+            f"round(try_divide(CAST({active} AS DOUBLE), {seen}), 6) AS {name}_active_ratio_{w}",
+            f"datediff(max(__last_{w}), min(__first_{w})) AS {name}_active_span_{w}",
+            f"datediff(DATE'{as_date(snapshot)}', max(__last_{w})) AS {name}_days_since_last_seen_{w}",
+            f"sum(__switches_{w}) AS device_switch_{label}_count_{w}",
+            f"max(__rows_{w}) AS device_max_streak_any_{label}_week_{w}", f"max(__current_{w}) AS device_max_streak_current_{label}_week_{w}"]
         if since_first_seen:
-            final.append(days_since(first, snapshot).alias(f"device_current_{label}_days_since_first_seen_{w}"))
+            final.append(f"datediff(DATE'{as_date(snapshot)}', min(__first_{w})) AS {name}_days_since_first_seen_{w}")
     gaps = [f"switch_{label}_gap_{w.name}" for w in last(*weeks)]
     shapes = statistic_columns(gaps, {s: [] for s in ("min", "max", "avg", "std", "skewness", "kurtosis")})
-    groups = rows.groupBy(PHONE, "switch_group").agg(*group)
-    features = groups.groupBy(PHONE).agg(*final, *shapes)
-    return features.select([
-        F.col(c).alias(f"device_{c}") if c.startswith("switch_") else F.col(c) for c in features.columns
-    ])
+    groups = rows.groupBy(PHONE, "switch_group").agg(*map(F.expr, group))
+    features = groups.groupBy(PHONE).agg(*map(F.expr, final), *shapes)
+    return features.toDF(*[f"device_{c}" if c.startswith("switch_") else c for c in features.columns])
 
 
 def switch_features(history: DataFrame, device: str, snapshot: DateLike,

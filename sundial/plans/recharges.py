@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sundial.functions.dates import DateLike, as_date
-from sundial.functions.numbers import ratio_or_null, smoothed_ratio
+from sundial.functions.numbers import smoothed_ratio
 from sundial.operators.aggregates import Bucket, bucket_counts, bucket_shares, busy_days
 from sundial.operators.columns import fill_missing
 from sundial.operators.joins import current_activation, lookup
@@ -47,33 +47,27 @@ def daily_recharges(recharges: DataFrame, methods: bool) -> DataFrame:
 
 
 def _window_columns(window: LookBack, snapshot: DateLike, methods: bool) -> list[Column]:
-    inside, w = window.contains(F.col("date"), snapshot), window.name
+    inside, w = window.sql("date", snapshot), window.name
 
-    def total(column: str) -> Column:
-        return F.coalesce(F.sum(F.when(inside, F.col(column))), F.lit(0))
+    def total(column: str, test: str = "") -> str:
+        return f"coalesce(sum(`{column}`) FILTER (WHERE {inside}{test}), 0)"
+
+    def percent(part: str, whole: str) -> str:
+        return f"try_divide(CAST({part} AS DOUBLE), {whole}) * 100D"
 
     rows, amount = total("rows"), total("amount")
-    columns = [amount.alias(f"recharge_amount_total_{w}"), rows.alias(f"recharge_count_{w}"),
-               ratio_or_null(amount, rows).alias(f"recharge_amount_avg_{w}"),
-               F.count(F.when(inside, F.col("date"))).alias(f"recharge_day_count_{w}")]
-    buckets = [f"prebal_{b.name}" for b in BEFORE_BUCKETS] + [b.name for b in AMOUNT_BUCKETS]
-    for name in buckets:
-        columns += [(ratio_or_null(total(name), rows) * 100.0).alias(f"recharge_{name}_pct_{w}"),
-                    total(name).alias(f"recharge_{name}_count_{w}")]
-    promoted, promoted_amount = [
-        F.coalesce(F.sum(F.when(inside & F.col("is_promote"), F.col(c))), F.lit(0)) for c in ("rows", "amount")]
-    columns += [promoted_amount.alias(f"recharge_promote_amount_total_{w}"), promoted.alias(f"recharge_promote_count_{w}"),
-                (ratio_or_null(promoted_amount, amount) * 100.0).alias(f"recharge_promote_amount_pct_{w}"),
-                (ratio_or_null(promoted, rows) * 100.0).alias(f"recharge_promote_count_pct_{w}")]
+    columns = {"amount_total": amount, "count": rows, "amount_avg": f"try_divide({amount}, {rows})", "day_count": f"count(date) FILTER (WHERE {inside})"}
+    for name in [f"prebal_{b.name}" for b in BEFORE_BUCKETS] + [b.name for b in AMOUNT_BUCKETS]:
+        columns |= {f"{name}_pct": percent(total(name), rows), f"{name}_count": total(name)}
+    promoted, promoted_amount = total("rows", " AND is_promote"), total("amount", " AND is_promote")
+    columns |= {"promote_amount_total": promoted_amount, "promote_count": promoted,
+                "promote_amount_pct": percent(promoted_amount, amount), "promote_count_pct": percent(promoted, rows)}
     if methods:
         for name in METHODS:
-            columns += [total(f"amount_{name}").alias(f"recharge_amount_{name}_total_{w}"),
-                        total(f"rows_{name}").alias(f"recharge_count_{name}_{w}")]
-        used = F.array_distinct(F.flatten(F.collect_set(F.when(inside, F.col("methods")))))
-        columns += [(ratio_or_null(total("rows_v"), rows) * 100.0).alias(f"recharge_count_v_pct_{w}"),
-                    (ratio_or_null(total("amount_v"), amount) * 100.0).alias(f"recharge_amount_v_pct_{w}"),
-                    F.size(used).alias(f"recharge_method_count_{w}")]
-    return columns
+            columns |= {f"amount_{name}_total": total(f"amount_{name}"), f"count_{name}": total(f"rows_{name}")}
+        columns |= {"count_v_pct": percent(total("rows_v"), rows), "amount_v_pct": percent(total("amount_v"), amount),
+                    "method_count": f"size(array_distinct(flatten(collect_set(methods) FILTER (WHERE {inside}))))"}
+    return [F.expr(f"{value} AS `recharge_{name}_{w}`") for name, value in columns.items()]
 
 
 def recharge_features(recharges: DataFrame, snapshot: DateLike, months: tuple[int, ...] = (3, 6, 12),

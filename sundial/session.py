@@ -16,6 +16,8 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # call-site capture makes building plans with hundreds of columns slow
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
