@@ -34,6 +34,7 @@ def main() -> None:
     for name in chosen:
         runs = []
         for _ in range(repeats):
+            spark.catalog.clearCache()
             start = time.perf_counter()
             registry.run(name, spark, folder).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)

@@ -189,13 +189,13 @@ GAPS = ".*(_gap_|_ratio_).*"
 
 @query("FP6_tac_behaviour", behaviour_sql("device_current_tac_l2w", "tac", False), "device_current activation", GAPS)
 def tac_behaviour(f):
-    history = devices.activated_history(f.device_current(), f.activation(), ORDERS_SNAPSHOT, strict=False)
+    history = devices.activated_history(f.device_current(), f.activation(), ORDERS_SNAPSHOT, strict=False, bounded=True)
     return devices.behaviour_features(history, "device_current_tac_l2w", "tac", ORDERS_SNAPSHOT)
 
 
 @query("FP7_brand_behaviour", behaviour_sql("device_current_brand_l2w", "brand", True), "device_current activation", GAPS)
 def brand_behaviour(f):
-    history = devices.activated_history(f.device_current(), f.activation(), ORDERS_SNAPSHOT, strict=False)
+    history = devices.activated_history(f.device_current(), f.activation(), ORDERS_SNAPSHOT, strict=False, bounded=True)
     return devices.behaviour_features(history, "device_current_brand_l2w", "brand", ORDERS_SNAPSHOT, since_first_seen=True)
 
 
@@ -212,5 +212,5 @@ def switch_sql() -> str:
 
 @query("FP8_switch_features", switch_sql(), "device_current activation", GAPS)
 def switches(f):
-    history = devices.activated_history(f.device_current(), f.activation(), ORDERS_SNAPSHOT, strict=False)
+    history = devices.activated_history(f.device_current(), f.activation(), ORDERS_SNAPSHOT, strict=False, bounded=True)
     return devices.switch_features(history, "device_current_tac_l2w", ORDERS_SNAPSHOT)

@@ -55,11 +55,18 @@ def hot_key_join(left: DataFrame, right: DataFrame, key: str, spread: list[str],
 
 def current_activation(events: DataFrame, activated: DataFrame, key: str = "phone_number",
                        date: str = "date", since: str = "last_activated_date",
-                       strict: bool = False) -> DataFrame:
-    """Rows of the subscriber's current activation only; `activated` has one row per subscriber."""
+                       strict: bool = False, bounded: bool = False) -> DataFrame:
+    """Rows of the subscriber's current activation only; `activated` has one row per subscriber.
+
+    Raw events may put very many rows on one subscriber, so the join is split for such keys. Set
+    `bounded` for tables with one row per subscriber and day or week, where none can occur.
+    """
     test = F.col(date) > F.col(since) if strict else F.col(date) >= F.col(since)
+    since_table = activated.select(key, since)
+    if bounded:
+        return events.join(since_table, key).filter(test).drop(since)
     spread = [c for c in events.columns if c != key]
-    return hot_key_join(events, activated.select(key, since), key, spread).filter(test).drop(since)
+    return hot_key_join(events, since_table, key, spread).filter(test).drop(since)
 
 
 def present_in(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:

@@ -86,8 +86,8 @@ def monthly_features(transfers: DataFrame, hours: DataFrame, snapshot: DateLike,
 def use_features(transfers: DataFrame, activated: DataFrame, snapshot: DateLike, days: int = 59) -> DataFrame:
     """Days, times and amount of borrowed airtime and of gifts sent, current activation only."""
     start = as_date(snapshot) - dt.timedelta(days=days)
-    dated = transfers.distinct().withColumn("date", F.to_date("transaction_time"))
-    own = current_activation(after_until(dated, start, snapshot).drop("transaction_time"), activated)
+    dated = transfers.withColumn("date", F.to_date("transaction_time"))
+    own = current_activation(after_until(dated, start, snapshot), activated).distinct()
     kinds = {"UNGTIEN": F.col("service_name") != FRIEND, FRIEND: F.col("service_name") == FRIEND}
     amount = F.col("amount")
     daily = own.filter("service_name IS NOT NULL").groupBy(PHONE, "date").agg(

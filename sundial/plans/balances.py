@@ -59,7 +59,7 @@ def usable_balance_features(balances: DataFrame, activated: DataFrame, snapshot:
     start = as_date(snapshot) - dt.timedelta(days=days)
     rows = usable_accounts(after_until(balances.select(PHONE, "balance", "date", "account_code"), start, snapshot))
     daily = rows.groupBy(PHONE, "date").agg(F.sum("balance").alias("balance"))
-    own = current_activation(daily, activated)
+    own = current_activation(daily, activated, bounded=True)
     return fill_missing(own.groupBy(PHONE).agg(*_day_statistics("balance", "balance")), 0, keys=[PHONE])
 
 

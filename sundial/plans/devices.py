@@ -5,17 +5,18 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sundial.functions.dates import DateLike, as_date, days_since
 from sundial.functions.numbers import safe_ratio
 from sundial.functions.texts import category_or_unmapped
 from sundial.operators.aggregates import latest_value
-from sundial.operators.joins import current_activation, hot_key_join, lookup, present_in
+from sundial.operators.joins import HOT_ROWS, current_activation, hot_key_join, lookup, present_in
 from sundial.operators.sequences import previous_marked_date, recent_rows, switches, top_per_group
 from sundial.operators.sets import statistic_columns
 from sundial.operators.windows import last, last_and_previous
+from sundial.session import cut_lineage
 from sundial.sources.scans import after_until, last_weeks, without_days
 
 PHONE = "phone_number"
@@ -45,10 +46,10 @@ def activation_dates(activated: DataFrame, snapshot: DateLike) -> DataFrame:
 
 
 def activated_history(table: DataFrame, activated: DataFrame, snapshot: DateLike, weeks: int = HISTORY_WEEKS,
-                      strict: bool = True) -> DataFrame:
+                      strict: bool = True, bounded: bool = False) -> DataFrame:
     """Rows of the look-back that belong to the subscriber's current activation."""
     rows = after_until(table, as_date(snapshot) - dt.timedelta(weeks=weeks), snapshot)
-    return current_activation(rows, activation_dates(activated, snapshot), strict=strict)
+    return current_activation(rows, activation_dates(activated, snapshot), strict=strict, bounded=bounded)
 
 
 @dataclass(frozen=True)
@@ -110,14 +111,13 @@ def entity_features(history: DataFrame, names: EntityNames, snapshot: DateLike,
     """Sharing, activity, diversity, overlap and entropy of a subscriber's devices (or ids).
 
     One aggregate per grain: (subscriber, entity, day) -> (subscriber, entity) -> subscriber. The
+    pair table is kept, as both the subscriber counts and the features read it. The
     overlap ratios are counts of entities present in both, either or only the current span, so no
     set is ever collected, and all statistics combine before the shuffle.
     """
-    pairs = pair_activity(history, names, snapshot, weeks)
+    pairs = cut_lineage(pair_activity(history, names, snapshot, weeks))
     shared = shared_counts(pairs, names, weeks)
-    from sundial.operators import joins
-
-    hot = shared.filter(F.col("__pairs") > joins.HOT_ROWS).select(names.entity)
+    hot = shared.filter(F.col("__pairs") > HOT_ROWS).select(names.entity)
     rows = hot_key_join(pairs, shared.drop("__pairs"), names.entity, [PHONE], "left", hot=hot)
     windowed = [f"{base}_{w.name}" for w in last(*weeks)
                 for base in (names.events, names.weeks, names.days, names.shared) if base]
@@ -151,8 +151,8 @@ def current_devices(weekly: DataFrame, activated: DataFrame, tac_map: DataFrame,
                     weeks: int = CURRENT_WEEKS) -> DataFrame:
     """The subscriber's main and second device in the last weeks of own activity."""
     suffix = f"l{weeks}w"
-    rows = after_until(weekly, as_date(snapshot) - dt.timedelta(weeks=12), snapshot).filter("imei IS NOT NULL").distinct()
-    own = current_activation(rows, activation_dates(activated, snapshot), strict=False)
+    rows = after_until(weekly, as_date(snapshot) - dt.timedelta(weeks=12), snapshot).filter("imei IS NOT NULL")
+    own = current_activation(rows, activation_dates(activated, snapshot), strict=False).distinct()
     daily = own.groupBy(PHONE, "tac", "date").agg(F.count(F.lit(1)).alias("__events"))
     daily = recent_rows(daily, [PHONE], "date", weeks * 7)
     totals = daily.groupBy(PHONE).agg(
@@ -196,13 +196,12 @@ def device_sequence(history: DataFrame, device: str) -> DataFrame:
     `history` holds one row per subscriber and snapshot, so a subscriber has at most as many rows
     as there are snapshots in the look-back.
     """
-    from pyspark.sql import Window
-
     rows = history.select(PHONE, "date", F.col(device).alias("device")).filter(f"{PHONE} IS NOT NULL AND device IS NOT NULL")
     marked = switches(rows, PHONE, "device", "date")
     return marked.withColumns({
         "current_device": F.max_by("device", "date").over(Window.partitionBy(PHONE)),
         "previous_switch": previous_marked_date(PHONE, "date", F.col("is_switch") == 1),
+        "newest_of_device": F.col("date") == F.max("date").over(Window.partitionBy(PHONE, "device")),
     })
 
 
@@ -211,10 +210,11 @@ def behaviour_features(history: DataFrame, device: str, label: str, snapshot: Da
     """Loyalty, switches, gaps and streaks of the subscriber's device (or brand) over time.
 
     All rows of one switch group share a device and hold at most one switch, so a group row
-    carries what every statistic needs. Window, group and subscriber levels use one shuffle.
+    carries what every statistic needs. A device counts in the windows that hold its newest row.
+    Window, group and subscriber levels use one shuffle.
     """
     rows = device_sequence(history, device)
-    group, final = ["first(device) AS __device"], []
+    group, final = [], []
     for window in last(*weeks):
         w, inside = window.name, window.sql("date", snapshot)
         current = f"{inside} AND device = current_device"
@@ -222,12 +222,13 @@ def behaviour_features(history: DataFrame, device: str, label: str, snapshot: Da
         group += [
             f"count(date) FILTER (WHERE {inside}) AS __rows_{w}", f"count(date) FILTER (WHERE {current}) AS __current_{w}",
             f"min(date) FILTER (WHERE {current}) AS __first_{w}", f"max(date) FILTER (WHERE {current}) AS __last_{w}",
+            f"count(date) FILTER (WHERE {inside} AND newest_of_device) AS __devices_{w}",
             f"sum(is_switch) FILTER (WHERE {inside}) AS __switches_{w}", f"max({gap}) AS switch_{label}_gap_{w}"]
         active, seen = f"sum(__current_{w})", f"sum(__rows_{w})"
         name = f"device_current_{label}"
         final += [
             f"{active} AS {name}_active_weeks_{w}",
-            f"size(collect_set(__device) FILTER (WHERE __rows_{w} > 0)) AS {name}_distinct_count_{w}",
+            f"sum(__devices_{w}) AS {name}_distinct_count_{w}",
             f"round(try_divide(CAST({active} AS DOUBLE), {seen}), 6) AS {name}_active_ratio_{w}",
             f"datediff(max(__last_{w}), min(__first_{w})) AS {name}_active_span_{w}",
             f"datediff(DATE'{as_date(snapshot)}', max(__last_{w})) AS {name}_days_since_last_seen_{w}",

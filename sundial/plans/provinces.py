@@ -12,6 +12,7 @@ from sundial.operators.aggregates import two_levels, two_levels_of_stored
 from sundial.operators.joins import lookup
 from sundial.operators.quality import require_days
 from sundial.operators.sequences import dominant_value, newest_row
+from sundial.session import cut_lineage
 from sundial.sources.scans import between, on_day
 
 PHONE, CELL, PROVINCE = "phone_number", "cell_id", "ref_province_name"
@@ -36,7 +37,7 @@ def seed_day(cell_daily: DataFrame, cell_map: DataFrame, snapshot: DateLike, day
     if check:
         window = require_days(window, days, retry=True)
     totals = window.groupBy(PHONE, CELL, "date").agg(F.sum("count").alias("count"))
-    placed = lookup(totals, newest_cells(cell_map).select(CELL, "province_name"), CELL)
+    placed = cut_lineage(lookup(totals, newest_cells(cell_map).select(CELL, "province_name"), CELL))
     today = on_day(placed, snapshot).select(PHONE, CELL, "province_name", F.col("count").alias("sum_logs_count"))
     weights = placed.filter("province_name IS NOT NULL").groupBy(PHONE, "province_name").agg(F.sum("count").alias("sum_logs_count_3d_prov"))
     stable = dominant_value(weights, PHONE, "province_name", "sum_logs_count_3d_prov", factor)

@@ -13,6 +13,7 @@ from sundial.operators.aggregates import Bucket, bucket_counts, bucket_shares, b
 from sundial.operators.columns import fill_missing
 from sundial.operators.joins import current_activation, lookup
 from sundial.operators.windows import LookBack, last, outer_bound
+from sundial.session import cut_lineage
 from sundial.sources.scans import after_until, on_day
 
 PHONE = "phone_number"
@@ -77,12 +78,13 @@ def recharge_features(recharges: DataFrame, snapshot: DateLike, months: tuple[in
 
     Rows go to subscriber-days first, then all windows are taken in one aggregate; days need no
     distinct count any more. Promotion days are the days with unusually many recharges, read off
-    the same daily table unless a list is given; that list has one row per calendar day.
+    the same (kept) daily table unless a list is given; that list has one row per calendar day.
     """
     windows = last(*months, unit="m")
     source = after_until(recharges.filter("recharge_amount > 0"), outer_bound(windows, snapshot), snapshot)
     daily = daily_recharges(source, methods)
     if promotion_days is None:
+        daily = cut_lineage(daily)
         per_day = daily.groupBy("date").agg(F.sum("rows").alias("__rows"))
         promotion_days = per_day.filter(F.col("__rows") >= promotion_rows)
     marked = lookup(daily, promotion_days.select("date", F.lit(True).alias("is_promote")), "date")
@@ -122,8 +124,8 @@ def recharge_shares(recharges: DataFrame, activated: DataFrame, promotion_days:
                     days: int = 59) -> DataFrame:
     """Amount classes and promotion-day shares over the last days."""
     start = as_date(snapshot) - dt.timedelta(days=days)
-    rows = after_until(recharges.filter("recharge_amount > 0"), start, snapshot).distinct()
-    own = current_activation(rows, activated, date="recharge_time")
+    rows = after_until(recharges.filter("recharge_amount > 0"), start, snapshot)
+    own = current_activation(rows, activated, date="recharge_time").distinct()
     marked = lookup(own, promotion_days.select("date", F.lit(True).alias("is_promote")), "date")
     promoted = F.coalesce("is_promote", F.lit(False))
     amount = F.col("recharge_amount")

@@ -32,7 +32,7 @@ TOTAL_COST = "t_tot_cost"
 
 def monthly_usage(prepaid: DataFrame, postpaid: DataFrame, activated: DataFrame, snapshot: DateLike, months: int) -> DataFrame:
     """Pre- and postpaid first-of-month rows under the prepaid schema; unknown costs are -1."""
-    own = [current_activation(first_of_months(df, snapshot, months).distinct(), activated) for df in (prepaid, postpaid)]
+    own = [current_activation(first_of_months(df, snapshot, months), activated).distinct() for df in (prepaid, postpaid)]
     columns = prepaid.columns
     return own[0].select(*columns).union(align_to(own[1], columns))
 
@@ -81,7 +81,7 @@ def usage_weekly(usage: DataFrame, activated: DataFrame, snapshot: DateLike, wee
     started = F.to_date("start_time")
     week = week_sunday(F.col("date"))
     same_week = F.weekofyear(started) == F.weekofyear(week)
-    own = current_activation(rows.filter(same_week).distinct(), activated).withColumn("week", week_sunday(F.col("date")))
+    own = current_activation(rows.filter(same_week), activated).distinct().withColumn("week", week_sunday(F.col("date")))
     amount = F.col("charge_amount")
     aggregates = []
     for service in SERVICES:
@@ -108,7 +108,7 @@ def usage_weekly(usage: DataFrame, activated: DataFrame, snapshot: DateLike, wee
 
 def usage_8_weeks(weekly: DataFrame, activated: DataFrame, snapshot: DateLike) -> DataFrame:
     """Spread and mean of weekly expense, event totals and mean shares over eight weeks."""
-    own = current_activation(last_weeks(weekly, snapshot, 8), activated)
+    own = current_activation(last_weeks(weekly, snapshot, 8), activated, bounded=True)
     aggregates = []
     for service in ["all", *SERVICES]:
         prefix = "usage" if service == "all" else f"usage_{service}"
@@ -136,7 +136,7 @@ def usage_24_weeks(weekly: DataFrame, activated: DataFrame, snapshot: DateLike,
     With `collapse_equal_weeks` weeks that agree in every column count once.
     """
     rows = after_until(weekly, as_date(snapshot) - dt.timedelta(weeks=weeks), snapshot)
-    own = current_activation(rows, activated).drop("date")
+    own = current_activation(rows, activated, bounded=True).drop("date")
     if collapse_equal_weeks:
         own = own.distinct()
     chosen = [c for c in own.columns if c.endswith(KEPT_ENDINGS) and not any(part in c for part in DROPPED_PARTS)]

@@ -140,7 +140,7 @@ def registrations_roll_forward(weekly: DataFrame, snapshot: DateLike, weeks: int
 def registration_features(services: DataFrame, activated: DataFrame, snapshot: DateLike, days: int = 59) -> DataFrame:
     """Services, charges and amount of the current activation; repeated rows count once."""
     start = as_date(snapshot) - dt.timedelta(days=days)
-    own = current_activation(after_until(services, start, snapshot).distinct(), activated)
+    own = current_activation(after_until(services, start, snapshot), activated).distinct()
     per_service = own.groupBy(PHONE, "service_name").agg(
         F.count("charge_amount").alias("times"), F.sum("charge_amount").alias("amount"))
     return per_service.groupBy(PHONE).agg(
