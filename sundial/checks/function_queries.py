@@ -62,7 +62,7 @@ def fs9(f):
 
 @query("FD1_dates_and_text", "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, strftime(o_orderdate, '%Y-%m') AS m, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS s FROM orders", texts="d|m|s")
 def fd1(f):
-    return f.orders.select("o_orderkey", F.to_date("o_orderdate").alias("d"), dates.month_label(F.to_date("o_orderdate")).alias("m"), F.from_unixtime(F.unix_timestamp("o_orderdate")).alias("s"))
+    return f.orders.select("o_orderkey", F.to_date("o_orderdate").alias("d"), dates.month_label(F.to_date("o_orderdate")).alias("m"), F.from_unixtime(F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))).alias("s"))
 
 
 @query("FD2_days_between", f"SELECT o_orderkey, {SNAP} - CAST(o_orderdate AS DATE) AS age FROM orders")
