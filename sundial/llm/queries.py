@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sundial.llm import bpe
+from sundial.llm import bpe, fingerprints
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BPE_PATTERN = public_tokenizers.PATTERN
@@ -22,8 +22,14 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(_table(spark, folder, "documents"), BPE_RANKS, BPE_PATTERN)
 
 
+def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Prefix-hash fingerprints of every text and its edited text."""
+    return fingerprints.fingerprints(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 SQL: dict[str, str] = {}
