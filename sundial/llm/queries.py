@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sundial.llm import bpe, fingerprints
+from sundial.llm import bpe, fingerprints, warc
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BPE_PATTERN = public_tokenizers.PATTERN
@@ -22,6 +22,11 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(_table(spark, folder, "documents"), BPE_RANKS, BPE_PATTERN)
 
 
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as a record of normalised archives, read back through their index."""
+    return warc.round_trip(_table(spark, folder, "pages")).drop("url", "payload")
+
+
 def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Prefix-hash fingerprints of every text and its edited text."""
     return fingerprints.fingerprints(_table(spark, folder, "documents"))
@@ -29,7 +34,15 @@ def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
+    "op8_warc": op8_warc,
     "op10_fingerprints": op10_fingerprints,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op8_warc": """
+        WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+        q AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS first_id FROM p)
+        SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+               CASE WHEN first_id IS DISTINCT FROM page_id AND first_id IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first_id IS DISTINCT FROM page_id THEN first_id END AS refers_to FROM q""",
+}
