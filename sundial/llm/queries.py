@@ -7,13 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sundial.llm import bpe, fingerprints, warc
+from sundial.llm import bpe, fingerprints, language, warc
+from sundial.llm.shared import small_batches
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BPE_PATTERN = public_tokenizers.PATTERN
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{str(folder).rstrip('/')}/{name}.parquet")
 
 
@@ -22,6 +24,18 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(_table(spark, folder, "documents"), BPE_RANKS, BPE_PATTERN)
 
 
+def language_training(documents: DataFrame) -> DataFrame:
+    """The documents that language identification may learn from."""
+    return documents.where(~language.held_out())
+
+
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from two thirds of them."""
+    documents = _table(spark, folder, "documents")
+    found = language.identify(documents.withColumn("held_out", language.held_out()), language_training(documents), ["doc_id", "held_out"])
+    return found
+
+
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Every page as a record of normalised archives, read back through their index."""
     return warc.round_trip(_table(spark, folder, "pages")).drop("url", "payload")
@@ -33,6 +47,7 @@ def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_language_id": op3_language_id,
     "op4_byte_bpe": op4_byte_bpe,
     "op8_warc": op8_warc,
     "op10_fingerprints": op10_fingerprints,

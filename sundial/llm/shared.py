@@ -31,6 +31,12 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts are long: send fewer rows at a time to Python workers than Spark's default."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Rows first..last of a batch with their UTF-8 bytes and offsets, about `limit` bytes at a time; null is empty."""
     texts = batch.column(column).cast(pa.large_string())
