@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sundial.llm import bpe, fingerprints, language, warc
+from sundial.llm import bpe, fingerprints, language, secrets, warc
 from sundial.llm.shared import small_batches
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -24,6 +24,11 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(_table(spark, folder, "documents"), BPE_RANKS, BPE_PATTERN)
 
 
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Strong secrets of every document and weak candidates linked by co-occurrence."""
+    return secrets.report(_table(spark, folder, "documents"))
+
+
 def language_training(documents: DataFrame) -> DataFrame:
     """The documents that language identification may learn from."""
     return documents.where(~language.held_out())
@@ -47,6 +52,7 @@ def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
     "op3_language_id": op3_language_id,
     "op4_byte_bpe": op4_byte_bpe,
     "op8_warc": op8_warc,
