@@ -2,8 +2,8 @@
 
 Texts are cut into pieces by the tokenizer's pattern and each piece is merged on its own: a segment tree over byte
 positions holds the rank of the pair that starts there, so the root names the leftmost pair of least rank, and a merge
-updates the three live neighbours it touches in logarithmic time. Pieces repeat, so each worker remembers a bounded
-number of them. Nothing is shuffled; one document is the largest unit of work.
+updates the three live neighbours it touches in logarithmic time. Short pieces are merged many at a time, one tree each.
+Pieces repeat, so each worker remembers a bounded number of them. Nothing is shuffled; one document is the largest unit of work.
 
 Null text is treated as empty (no ids, empty bytes). Repeated rows are encoded alike; other columns are kept untouched.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import re
+import sys
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Runs without white space, with at most one blank before them: no piece crosses the border of two runs.
 RUNS = re.compile(rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
@@ -83,24 +84,113 @@ def merge(piece: bytes, ranks: dict[bytes, int], pairs: dict[int, int]) -> list[
     return [i for i in ids if i >= 0]
 
 
+class Pairs:
+    """Rank of a pair of ids, looked up for whole arrays: an open-addressing table."""
+
+    def __init__(self, pairs: dict[int, int]):
+        self.bits = max(4, (2 * len(pairs)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.ranks = np.zeros(1 << self.bits, np.int64)
+        keys, ranks = np.fromiter(pairs, np.int64, len(pairs)), np.fromiter(pairs.values(), np.int64, len(pairs))
+        at = self._slot(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys[at] < 0)
+            self.keys[at[free]] = keys[free]
+            here = self.keys[at] == keys
+            self.ranks[at[here]] = ranks[here]
+            keys, ranks, at = keys[~here], ranks[~here], (at[~here] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks, or -1 where the pair has none or an id is negative."""
+        keys = left << 32 | right
+        out = np.full(len(keys), -1, np.int64)
+        rows = np.flatnonzero((left >= 0) & (right >= 0))
+        at = self._slot(keys[rows])
+        while len(rows):
+            held = self.keys[at]
+            here = held == keys[rows]
+            out[rows[here]] = self.ranks[at[here]]
+            on = ~here & (held >= 0)
+            rows, at = rows[on], (at[on] + 1) & ((1 << self.bits) - 1)
+        return out
+
+
+def merge_many(pieces: list[bytes], letters: np.ndarray, pairs: Pairs) -> list[bytes]:
+    """`merge` for many short pieces at once: a forest of equal segment trees, one merge in each tree per round.
+
+    The ids of a piece are the bytes of 32-bit numbers.
+    """
+    lengths = np.array([len(p) for p in pieces])
+    size = 1 << int(lengths.max() - 1).bit_length()
+    shift, m = size.bit_length() - 1, len(pieces)
+    none = np.int64(NO_RANK)
+    ids = np.full((m, size + 1), -1, np.int64)
+    inside = np.arange(size + 1) < lengths[:, None]
+    ids[inside] = letters[np.frombuffer(b"".join(pieces), np.uint8)]
+    after = np.minimum(np.arange(1, size + 2), lengths[:, None]).ravel()
+    before = np.tile(np.arange(-1, size), (m, 1)).ravel()
+    tree = np.full((m, 2 * size), none)
+    ranks = pairs.find(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(m, size)
+    tree[:, size:] = np.where(ranks >= 0, ranks << shift | np.arange(size), none)
+    at = size
+    while at > 1:
+        tree[:, at // 2:at] = np.minimum(tree[:, at:2 * at:2], tree[:, at + 1:2 * at:2])
+        at //= 2
+    tree, ids = tree.ravel(), ids.ravel()
+    rows = np.arange(m)
+    while True:
+        least = tree[rows * (2 * size) + 1]
+        live = least < none
+        rows, least = rows[live], least[live]
+        if not len(rows):
+            break
+        flat, top = rows * (size + 1), rows * (2 * size)
+        i = least & (size - 1)
+        j = after[flat + i]
+        k = after[flat + j]
+        h = before[flat + i]
+        ids[flat + i] = least >> shift
+        ids[flat + j] = -1
+        after[flat + i] = k
+        before[flat + k] = i
+        own = pairs.find(ids[flat + i], ids[flat + k])
+        left = pairs.find(np.where(h >= 0, ids[flat + np.maximum(h, 0)], -1), ids[flat + i])
+        spots = [size + j, size + i, np.where(h >= 0, size + h, 0)]
+        tree[top + spots[0]] = none
+        tree[top + spots[1]] = np.where(own >= 0, own << shift | i, none)
+        tree[top + spots[2]] = np.where(left >= 0, left << shift | h, none)
+        for _ in range(shift):
+            for n, spot in enumerate(spots):
+                spots[n] = spot = spot >> 1
+                below = top + 2 * spot
+                tree[top + spot] = np.minimum(tree[below], tree[below + 1])
+    ids = ids.reshape(m, size + 1)
+    kept = ids >= 0
+    flat, ends = ids[kept].astype(np.int32).tobytes(), (4 * np.cumsum(kept.sum(axis=1))).tolist()
+    return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
 class Recent:
-    """Ids of short pieces seen lately: two generations, so that frequent ones stay and memory is bounded."""
+    """Ids of short runs seen lately: two generations, so that frequent ones stay and memory is bounded."""
 
     def __init__(self):
-        self.new: dict[str, list[int]] = {}
-        self.old: dict[str, list[int]] = {}
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def get(self, piece: str) -> list[int] | None:
-        ids = self.new.get(piece)
-        if ids is None and (ids := self.old.get(piece)) is not None:
-            self.put(piece, ids)
+    def get(self, run: str) -> bytes | None:
+        ids = self.old.get(run)
+        if ids is not None:
+            self.put(run, ids)
         return ids
 
-    def put(self, piece: str, ids: list[int]) -> None:
-        if len(piece) <= 64:
+    def put(self, run: str, ids: bytes) -> None:
+        if len(run) <= 64:
             if len(self.new) >= REMEMBERED:
                 self.old, self.new = self.new, {}
-            self.new[piece] = ids
+            self.new[run] = ids
 
 
 class Codec:
@@ -109,14 +199,16 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        self.letters = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
         self.pairs = {}
         for word, rank in self.ranks.items():
             for cut in range(1, len(word)):
                 left, right = self.ranks.get(word[:cut]), self.ranks.get(word[cut:])
                 if left is not None and right is not None:
                     self.pairs[left << 32 | right] = rank
+        self.table = Pairs(self.pairs)
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\S", f"[^{WHITE}]").replace(r"\s", f"[{WHITE}]"))
-        self.pieces, self.runs = Recent(), Recent()
+        self.runs = Recent()
         words = [b""] * (max(self.ranks.values()) + 1)
         for word, rank in self.ranks.items():
             words[rank] = word
@@ -124,23 +216,40 @@ class Codec:
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.data = np.frombuffer(b"".join(words), np.uint8)
 
-    def _run(self, run: str) -> list[int]:
-        ids: list[int] = []
-        for piece in self.pattern.findall(run):
-            known = self.pieces.get(piece)
-            if known is None:
-                known = merge(piece.encode(), self.ranks, self.pairs)
-                self.pieces.put(piece, known)
-            ids += known
-        self.runs.put(run, ids)
-        return ids
+    def _new(self, runs: set[str]) -> dict[str, bytes]:
+        """Ids of runs not seen lately."""
+        cut = {run: [run] if run.isalpha() or run[0] == " " and run[1:].isalpha() else self.pattern.findall(run) for run in runs}
+        known: dict[str, bytes] = {}
+        by_size: dict[int, list[tuple[str, bytes]]] = {}
+        for piece in set(chain.from_iterable(cut.values())):
+            raw = piece.encode()
+            if (rank := self.ranks.get(raw)) is not None:
+                known[piece] = rank.to_bytes(4, sys.byteorder)
+            elif len(raw) > 64:
+                known[piece] = np.array(merge(raw, self.ranks, self.pairs), np.int32).tobytes()
+            else:
+                by_size.setdefault((len(raw) - 1).bit_length(), []).append((piece, raw))
+        for group in by_size.values():
+            known.update(zip([p for p, _ in group], merge_many([r for _, r in group], self.letters, self.table), strict=True))
+        out = {run: b"".join(map(known.__getitem__, pieces)) for run, pieces in cut.items()}
+        for run, ids in out.items():
+            self.runs.put(run, ids)
+        return out
+
+    def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and their number for each text."""
+        cut = [RUNS.findall(t) for t in texts]
+        found = [list(map(self.runs.new.get, runs)) for runs in cut]
+        missing = {r for f, runs in zip(found, cut, strict=True) if None in f for i, r in zip(f, runs, strict=True) if i is None}
+        if missing:
+            older = {r: ids for r in missing if (ids := self.runs.get(r)) is not None}
+            older |= self._new(missing.difference(older))
+            found = [[older[r] if i is None else i for i, r in zip(f, runs, strict=True)] if None in f else f for f, runs in zip(found, cut, strict=True)]
+        joined = [b"".join(f) for f in found]
+        return np.frombuffer(b"".join(joined), np.int32), np.fromiter(map(len, joined), np.int64, len(joined)) // 4
 
     def encode(self, text: str) -> list[int]:
-        runs = RUNS.findall(text)
-        found = list(map(self.runs.new.get, runs))
-        if None in found:
-            found = [f or self.runs.get(r) or self._run(r) for f, r in zip(found, runs, strict=True)]
-        return list(chain.from_iterable(found))
+        return self.encode_many([text])[0].tolist()
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """Bytes of all ids one after the other."""
@@ -171,10 +280,9 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                lists = [own.encode(t or "") for t in part.column(text).to_pylist()]
-                ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
-                flat = pa.array(np.fromiter(chain.from_iterable(lists), np.int32, int(ends[-1])))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(ends), flat)], [*part.schema.names, ids])
+                flat, counts = own.encode_many([t or "" for t in part.column(text).to_pylist()])
+                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], [*part.schema.names, ids])
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
 
