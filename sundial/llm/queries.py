@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sundial.llm import bpe, fingerprints, language, secrets, warc
+from sundial.llm import bpe, contamination, fingerprints, language, secrets, warc
 from sundial.llm.shared import small_batches
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -41,6 +41,11 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items inside documents: every pair with containment of 0.75 or more."""
+    return contamination.contained(_table(spark, folder, "documents"), _table(spark, folder, "benchmark")).select("doc_id", "item_id", "n_item", "n_shared", "containment")
+
+
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Every page as a record of normalised archives, read back through their index."""
     return warc.round_trip(_table(spark, folder, "pages")).drop("url", "payload")
@@ -55,11 +60,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op3_language_id": op3_language_id,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_decontamination": op5_decontamination,
     "op8_warc": op8_warc,
     "op10_fingerprints": op10_fingerprints,
 }
 
 SQL: dict[str, str] = {
+    "op5_decontamination": """
+        WITH words AS (
+            SELECT 'd' AS side, doc_id AS id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents
+            UNION ALL SELECT 'b', item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') FROM benchmark),
+        item AS (
+            SELECT DISTINCT id AS item_id, least(len(w), 5) AS width, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS s
+            FROM (SELECT id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i FROM words WHERE side = 'b' AND len(w) > 0)),
+        widths AS (SELECT DISTINCT width FROM item),
+        doc AS (
+            SELECT DISTINCT id AS doc_id, width, array_to_string(w[i:i + width - 1], ' ') AS s
+            FROM (SELECT id, w, width, unnest(range(1, len(w) - width + 2)) AS i FROM words, widths WHERE side = 'd' AND len(w) >= width)),
+        size AS (SELECT item_id, count(*) AS n_item FROM item GROUP BY item_id),
+        shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM doc JOIN item USING (width, s) GROUP BY doc_id, item_id)
+        SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment FROM shared JOIN size USING (item_id) WHERE n_shared >= 0.75 * n_item""",
     "op8_warc": """
         WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
         q AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS first_id FROM p)
