@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sundial.llm import bpe, contamination, fingerprints, language, secrets, warc
+from sundial.llm import bpe, contamination, fingerprints, jaccard, language, secrets, warc
 from sundial.llm.shared import small_batches
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -29,6 +29,11 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.report(_table(spark, folder, "documents"))
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Shingle set size and near-duplicate component of every document."""
+    return jaccard.join(_table(spark, folder, "documents"))
+
+
 def language_training(documents: DataFrame) -> DataFrame:
     """The documents that language identification may learn from."""
     return documents.where(~language.held_out())
@@ -58,6 +63,7 @@ def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_language_id": op3_language_id,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_decontamination": op5_decontamination,
