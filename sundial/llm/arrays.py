@@ -93,3 +93,49 @@ def shingles(hashes: np.ndarray, first: np.ndarray, width: int = WORDS) -> list[
             own = np.zeros(0, np.uint64)
         out.append(own)
     return out
+
+
+class Lookup:
+    """Positions of 64-bit keys, found for whole arrays: an open-addressing table over distinct keys."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(4, (len(keys) * 7 // 5).bit_length())
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.at = np.full(1 << self.bits, -1, np.int32)
+        rows = np.arange(len(keys), dtype=np.int32)
+        slot = self._slot(keys)
+        while len(rows):
+            free = np.flatnonzero(self.at[slot] < 0)
+            self.at[slot[free]] = rows[free]
+            here = self.at[slot] == rows
+            self.keys[slot[here]] = keys[rows[here]]
+            rows, slot = rows[~here], (slot[~here] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * STEP) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Position of each key, -1 where it is absent."""
+        slot = self._slot(keys)
+        out = self.at[slot]
+        wrong = np.flatnonzero((out >= 0) & (self.keys[slot] != keys))
+        slot = slot[wrong]
+        while len(wrong):
+            slot = (slot + 1) & ((1 << self.bits) - 1)
+            now = self.at[slot]
+            out[wrong] = now
+            on = (now >= 0) & (self.keys[slot] != keys[wrong])
+            wrong, slot = wrong[on], slot[on]
+        return out
+
+
+def counted(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and their total counts."""
+    if counts is None:
+        keys = np.sort(keys)
+        new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        return keys[new], np.diff(np.concatenate([new, [len(keys)]]))
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[new], np.add.reduceat(counts, new) if len(new) else counts

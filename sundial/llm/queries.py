@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sundial.llm import bpe, contamination, fingerprints, jaccard, language, secrets, warc
+from sundial.llm import bpe, contamination, fingerprints, jaccard, language, ppm, secrets, warc
 from sundial.llm.shared import small_batches
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -51,6 +51,12 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.contained(_table(spark, folder, "documents"), _table(spark, folder, "benchmark")).select("doc_id", "item_id", "n_item", "n_shared", "containment")
 
 
+def op6_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents by a byte model and by word frequencies, both learned from six sevenths of them."""
+    documents = _table(spark, folder, "documents").withColumn("held_out", ppm.held_out())
+    return ppm.pretrained(documents, documents.where("NOT held_out"), ["doc_id", "held_out"])
+
+
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Every page as a record of normalised archives, read back through their index."""
     return warc.round_trip(_table(spark, folder, "pages")).drop("url", "payload")
@@ -67,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_decontamination": op5_decontamination,
+    "op6_lm_score": op6_lm_score,
     "op8_warc": op8_warc,
     "op10_fingerprints": op10_fingerprints,
 }
