@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sundial.llm import bpe, contamination, fingerprints, jaccard, language, ppm, secrets, warc
+from sundial.llm import bpe, contamination, fingerprints, jaccard, language, ppm, repeats, secrets, warc
 from sundial.llm.shared import small_batches
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -57,6 +57,11 @@ def op6_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return ppm.pretrained(documents, documents.where("NOT held_out"), ["doc_id", "held_out"])
 
 
+def op7_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages that repeat an earlier one, by document."""
+    return repeats.report(_table(spark, folder, "documents"))
+
+
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Every page as a record of normalised archives, read back through their index."""
     return warc.round_trip(_table(spark, folder, "pages")).drop("url", "payload")
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_decontamination": op5_decontamination,
     "op6_lm_score": op6_lm_score,
+    "op7_repeated_passages": op7_repeated_passages,
     "op8_warc": op8_warc,
     "op10_fingerprints": op10_fingerprints,
 }
