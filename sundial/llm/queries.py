@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sundial.llm import bpe, contamination, fingerprints, jaccard, language, ppm, repeats, secrets, warc
+from sundial.llm import bpe, chat, contamination, fingerprints, jaccard, language, ppm, repeats, secrets, warc
 from sundial.llm.shared import small_batches
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -67,6 +67,11 @@ def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(_table(spark, folder, "pages")).drop("url", "payload")
 
 
+def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """Repaired and rendered conversations."""
+    return chat.repaired(_table(spark, folder, "conversations"))
+
+
 def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Prefix-hash fingerprints of every text and its edited text."""
     return fingerprints.fingerprints(_table(spark, folder, "documents"))
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_lm_score": op6_lm_score,
     "op7_repeated_passages": op7_repeated_passages,
     "op8_warc": op8_warc,
+    "op9_chat_format": op9_chat_format,
     "op10_fingerprints": op10_fingerprints,
 }
 
