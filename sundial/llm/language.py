@@ -26,6 +26,8 @@ WINDOW = 128
 ROWS = 2048
 PAD = 256
 HIDDEN = 8
+#: A table of so many languages may be broadcast.
+MOST_LANGUAGES = 10_000
 
 
 @dataclass
@@ -201,7 +203,8 @@ def sample(labelled: DataFrame, documents_per_language: int) -> tuple[list[bytes
     labelled = labelled.select("text", "lang").where("lang IS NOT NULL AND length(text) > 0")
     counts = labelled.groupBy("lang").count()
     mark = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    chosen = (labelled.join(counts, "lang").withColumn("mark", mark)
+    few = counts.limit(MOST_LANGUAGES + 1).count() <= MOST_LANGUAGES
+    chosen = (labelled.join(F.broadcast(counts) if few else counts, "lang").withColumn("mark", mark)
               .where(F.col("mark") * F.col("count") < documents_per_language))
     starts = F.transform(F.array(*[F.lit(i) for i in range(4)]), lambda i: F.substring(
         F.col("text"), (F.pmod(F.xxhash64(F.col("text"), i), F.greatest(F.length("text") - 199, F.lit(1))) + 1).cast("int"), F.lit(200)))

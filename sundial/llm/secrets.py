@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sundial.llm.shared import bounded, saved
+
 # The strong patterns, in the order of their kinds.
 KEYWORD = r"""(?i:password|passwd|secret|token|api_?key)"""
 ASSIGN = r"""(""" + KEYWORD + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -29,6 +31,8 @@ LOGIN = r"""(?i:user(?:name)?|login|account|client_?id)["']?\x20*[:=]\x20*["']?[
 ENDPOINT = r"""(?:https?|ftp|ssh|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s"'<>]+"""
 REACH = 200
 CHUNK = 128
+#: Texts with linked spans (some dozens of bytes each) that may be broadcast.
+BROADCAST_TEXTS = 100_000
 
 SPAN = "struct<start:int,kind:int,end:int>"
 NO_SPANS = f"array<{SPAN}>"
@@ -112,7 +116,7 @@ def linked(scanned: DataFrame, text: str = "text", reach: int = REACH) -> DataFr
 def scan(documents: DataFrame, keep: list[str], text: str = "text", reach: int = REACH) -> DataFrame:
     """Columns `keep` with all spans (array of start, kind, end), and the strong ones, of every row's text."""
     scanned = strong_spans(documents.select(*dict.fromkeys([*keep, text]), F.xxhash64(_text(text), F.length(_text(text))).alias("__key")), text)
-    found = linked(scanned, text, reach)
+    found = bounded(saved(linked(scanned, text, reach), "linked"), BROADCAST_TEXTS)
     return (scanned.select(*keep, "__key", "__assign", "__access", "__hex", "__strong").join(found, "__key", "left")
             .select(*keep, F.col("__assign").alias("assign_spans"), F.col("__access").alias("access_spans"), F.col("__hex").alias("hex_spans"),
                     F.col("__strong").alias("strong_spans"),

@@ -9,8 +9,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+#: Of rows with a few numbers each.
+BROADCAST_ROWS = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,6 +34,11 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A table that is already written may be broadcast if it has few rows; a larger one is joined by sorting."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Texts are long: send fewer rows at a time to Python workers than Spark's default."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
