@@ -261,10 +261,12 @@ def j18(f):
     return joins.valid_at(f.assignments(), ORDERS_SNAPSHOT).select("assignment_id", "telco")
 
 
-@query("J18_valid_on_days", "SELECT d.date, count(*) AS n FROM (SELECT DISTINCT date FROM holidays) d JOIN assignments a ON a.date_start <= d.date AND (a.date_end IS NULL OR a.date_end >= d.date) GROUP BY 1", "assignments holidays", texts="date")
+@query("J18_valid_on_days", "SELECT d.date, count(*) AS n FROM (SELECT DISTINCT date FROM holidays UNION ALL SELECT DATE '2150-07-01') d JOIN (SELECT CASE WHEN assignment_id % 7 <> 0 THEN date_start END AS date_start, date_end FROM assignments) a ON (a.date_start IS NULL OR a.date_start <= d.date) AND (a.date_end IS NULL OR a.date_end >= d.date) GROUP BY 1", "assignments holidays", texts="date")
 def j18b(f):
-    days = f.holidays().select("date").distinct()
-    return joins.valid_on_days(f.assignments(), days, horizon=F.lit(dt.date(2002, 1, 1))).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+    """With open starts, open ends and a day far ahead."""
+    days = f.holidays().select("date").distinct().unionByName(f.spark.sql("SELECT DATE '2150-07-01' AS date"))
+    rows = f.assignments().withColumn("date_start", F.expr("CASE WHEN assignment_id % 7 <> 0 THEN date_start END"))
+    return joins.valid_on_days(rows, days).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("J19_first_candidate", "SELECT assignment_id, base_code, model_family FROM assignments LEFT JOIN (SELECT client_model_code AS base_code, model_family FROM catalog) ON base_code = client_model_code", "assignments catalog", texts="base_code|model_family")
@@ -700,7 +702,7 @@ PROFILE = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count({c}) AS filled,
        doubles=".*ratio", texts="column|suggest_type", whole=False)
 def q8(f):
     typed = f.orders.selectExpr("CAST(o_orderkey AS STRING) AS key", "CAST(o_totalprice AS STRING) AS price", "CASE WHEN o_orderkey % 50 = 0 THEN 'x' ELSE CAST(o_custkey AS STRING) END AS customer", "o_orderpriority AS priority")
-    return quality.wrong_types(typed, sample_size=None)
+    return quality.wrong_types(typed)
 
 
 @query("Q10_row_report", "SELECT count(*) AS rows, count(DISTINCT phone_number) AS phones, count(DISTINCT (phone_number, disburse_date)) AS phone_dates FROM label", "label")

@@ -271,6 +271,15 @@ def package_features(f):
     return value_added.package_features(value_added.package_weekly(f.vas_package()), ORDERS_SNAPSHOT)
 
 
+ALL_PACKAGES = PACKAGES.split("WHERE package_name_update NOT LIKE")[0] + "WHERE package_name_update IS NOT NULL GROUP BY 1, 2, 3)"
+
+
+@query("FP23_all_packages", f"WITH {ALL_PACKAGES} SELECT phone_number, package_name_update, week AS date, days AS vas3g_dist_date_per_pack_l1w, amount AS vas3g_charge_amount_per_pn_pack_l1w FROM weekly",
+       "vas_package", ".*amount.*", "package_name_update|date")
+def all_packages(f):
+    return value_added.package_weekly(f.vas_package(), keep_untracked=True)
+
+
 SERVICE = (f"weekly AS (SELECT phone_number, service_name, {SUNDAY} AS week, count(DISTINCT date) AS days, sum(price) AS price FROM "
            "(SELECT DISTINCT phone_number, date, price, service_name FROM vas_service) GROUP BY 1, 2, 3)")
 

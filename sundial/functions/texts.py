@@ -28,45 +28,32 @@ def category_or_unmapped(key: Column, label: Column) -> Column:
     return F.when(key.isNotNull(), F.coalesce(F.lower(label), F.lit("unmapped")))
 
 
-# Package-name rules, first match wins. Each rule is
-# (LIKE pattern, kind, argument): strip = regex removed anywhere,
-# drop = characters cut off the end, keep = characters kept, name = new name.
-PACKAGE_RULES = [
-    ("%X", "drop", 1),
-    ("%_60", "strip", "_60"),
-    ("%_TS", "strip", "_TS"),
-    ("%VOICE%", "strip", "-VOICE|VOICE|_VOICE1"),
-    ("%DATA%", "strip", "-DATA|_DATA"),
-    ("VTR%", "keep", 3),
-    ("%_NEW", "drop", 4),
-    ("%_KDS", "name", "GOI_CUOC_DOANH_NGH_TANG/BAN"),
-    ("%KID%", "name", "GOI_KID_DINH_VI"),
-    ("%_4G%", "strip", "_4G|_4G_"),
-    ("%_4", "strip", "_4"),
-    ("%_1", "strip", "_1"),
-    ("%U", "drop", 1),
-]
-# Names a rule must leave alone.
-PACKAGE_RULE_EXCEPTIONS = {"%X": "MIMAX", "%U": "CAMAU_BACLIEU"}
-
-
 def package_family(name: Column) -> Column:
-    """Normal form of a data-package name."""
-    result = name
-    for pattern, kind, argument in reversed(PACKAGE_RULES):
-        if kind == "strip":
-            value = F.regexp_replace(name, argument, "")
-        elif kind == "drop":
-            value = F.substring(name, F.lit(1), F.length(name) - argument)
-        elif kind == "keep":
-            value = F.substring(name, 1, argument)
-        else:
-            value = F.lit(argument)
-        applies = name.like(pattern)
-        if pattern in PACKAGE_RULE_EXCEPTIONS:
-            applies = applies & (name != PACKAGE_RULE_EXCEPTIONS[pattern])
-        result = F.when(applies, value).otherwise(result)
-    return result
+    """Normal form of a data-package name: suffixes for price, period, channel and network are taken off.
+
+    Fixed values: the name patterns, of which the first that fits decides.
+    """
+    def shorter(count: int) -> Column:
+        return F.substring(name, F.lit(1), F.length(name) - count)
+
+    def without(pattern: str) -> Column:
+        return F.regexp_replace(name, pattern, "")
+
+    return (
+        F.when(name.endswith("X") & (name != "MIMAX"), shorter(1))
+        .when(name.like("%_60"), without("_60"))
+        .when(name.like("%_TS"), without("_TS"))
+        .when(name.contains("VOICE"), without("-?VOICE"))
+        .when(name.contains("DATA"), without("[-_]DATA"))
+        .when(name.startswith("VTR"), F.lit("VTR"))
+        .when(name.like("%_NEW"), shorter(4))
+        .when(name.like("%_KDS"), F.lit("GOI_CUOC_DOANH_NGH_TANG/BAN"))
+        .when(name.contains("KID"), F.lit("GOI_KID_DINH_VI"))
+        .when(name.like("%_4G%"), without("_4G"))
+        .when(name.like("%_4"), without("_4"))
+        .when(name.like("%_1"), without("_1"))
+        .when(name.endswith("U") & (name != "CAMAU_BACLIEU"), shorter(1))
+        .otherwise(name))
 
 
 def is_tracked_package(family: Column) -> Column:

@@ -206,16 +206,21 @@ def valid_at(df: DataFrame, moment: DateLike | Column, start: str = "date_start"
 
 
 def valid_on_days(df: DataFrame, days: DataFrame, date: str = "date", start: str = "date_start",
-                  end: str = "date_end", horizon: Column | None = None) -> DataFrame:
-    """Intervals joined to the days they hold, as an equi join on (month, ...) buckets.
+                  end: str = "date_end") -> DataFrame:
+    """Intervals joined to the days they hold, as an equi join on months; a null start or end is open.
 
-    Each interval is expanded to the months it touches, so no nested loop is planned.
+    Open ends reach to the first and last day of the day table, so no day and no interval is lost and results do
+    not depend on today. Each interval is expanded to the months it touches, so no nested loop is planned.
     """
-    low = F.trunc(F.col(start), "MM")
-    high = F.trunc(F.coalesce(F.col(end), horizon if horizon is not None else F.current_date()), "MM")
-    months = df.filter(low <= high).withColumn("__month", F.explode(F.sequence(low, high, F.expr("interval 1 month"))))
+    first, last = days.agg(F.min(date), F.max(date)).first()
+    if first is None:
+        return df.join(days, F.lit(False))
+    begin = F.greatest(F.coalesce(F.col(start), F.lit(first)), F.lit(first))
+    until = F.least(F.coalesce(F.col(end), F.lit(last)), F.lit(last))
+    months = df.filter(begin <= until).withColumn(
+        "__month", F.explode(F.sequence(F.trunc(begin, "MM"), F.trunc(until, "MM"), F.expr("interval 1 month"))))
     keyed = days.withColumn("__month", F.trunc(date, "MM"))
-    hit = (F.col(date) >= F.col(start)) & (F.col(end).isNull() | (F.col(date) <= F.col(end)))
+    hit = (F.col(start).isNull() | (F.col(date) >= F.col(start))) & (F.col(end).isNull() | (F.col(date) <= F.col(end)))
     return months.join(keyed, "__month").filter(hit).drop("__month")
 
 

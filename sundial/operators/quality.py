@@ -57,10 +57,10 @@ def row_report(df: DataFrame, keys: dict[str, list[str]]) -> DataFrame:
                   *[F.count_distinct(*columns).alias(name) for name, columns in keys.items()])
 
 
-def text_profile(df: DataFrame, sample_size: int | None = 10_000, seed: int = 42) -> DataFrame:
+def text_profile(df: DataFrame, sample_size: int | None = None, seed: int = 42) -> DataFrame:
     """Per text column: filled values, castable share and integer share among castable ones.
 
-    One aggregate over all columns; sampling is by fraction, or off when no size is given.
+    One aggregate over all rows and columns. A caller may ask for a sample of about `sample_size` rows instead.
     """
     columns = [c for c, kind in df.dtypes if kind == "string"]
     source = df.select(*columns)
@@ -81,7 +81,7 @@ def text_profile(df: DataFrame, sample_size: int | None = 10_000, seed: int = 42
     return wide.select(F.inline(entries))
 
 
-def wrong_types(df: DataFrame, sample_size: int | None = 10_000, numeric: float = 0.95, whole: float = 0.98,
+def wrong_types(df: DataFrame, sample_size: int | None = None, numeric: float = 0.95, whole: float = 0.98,
                 seed: int = 42) -> DataFrame:
     """Text columns that hold numbers, with the suggested type."""
     profile = text_profile(df, sample_size, seed)

@@ -262,8 +262,14 @@ def t_p_value(t: Column, freedom: Column) -> Column:
     return F.when(t.isNotNull() & (freedom >= 1), F.try_divide(simpson(density, start, end), simpson(density, F.lit(0.0), end)))
 
 
-def rank_p_value(plus: Column, minus: Column, nonzero: Column, n: Column, tie_term: Column, exact_up_to: int = 50) -> Column:
-    """Two-sided p-value of the signed-rank statistic: exact without ties and zeros, else normal."""
+def rank_p_value(plus: Column, minus: Column, nonzero: Column, n: Column, tie_term: Column, method: str = "auto") -> Column:
+    """Two-sided p-value of the signed-rank statistic.
+
+    `method`: "exact" counts sign patterns (its distribution knows no ties and zeros; with them it is the normal
+    approximation), "normal" is always the approximation, "auto" is exact for at most 50 pairs.
+    """
+    if method not in ("auto", "exact", "normal"):
+        raise ValueError(f"unknown method: {method}")
     smaller = F.least(plus, minus)
     size = (nonzero * (nonzero + 1) / 2).cast("int") + 1
     start = F.concat(F.array(F.lit(1.0)), F.array_repeat(F.lit(0.0), size - 1))
@@ -278,16 +284,16 @@ def rank_p_value(plus: Column, minus: Column, nonzero: Column, n: Column, tie_te
     spread = F.sqrt((nonzero * (nonzero + 1) * (nonzero * 2 + 1) - tie_term / 2.0) / 24.0)
     z = F.abs(F.try_divide(smaller - nonzero * (nonzero + 1) / 4.0, spread))
     normal = simpson(lambda x: F.exp(-x * x / 2.0), z, z + 12.0) * (2.0 / math.sqrt(2 * math.pi))
-    is_exact = (nonzero == n) & (nonzero <= exact_up_to) & (tie_term == 0)
+    is_exact = (nonzero == n) & (tie_term == 0) & {"auto": nonzero <= 50, "exact": F.lit(True), "normal": F.lit(False)}[method]
     return F.when(nonzero > 0, F.when(is_exact, exact).otherwise(F.least(F.lit(1.0), normal)))
 
 
-def p_values(results: DataFrame) -> DataFrame:
-    """Paired t and signed-rank p-values, one row per feature; null when all gaps are equal."""
+def p_values(results: DataFrame, method: str = "auto") -> DataFrame:
+    """Paired t and signed-rank p-values (see `rank_p_value`), one row per feature; null when all gaps are equal."""
     rows = paired_statistics(results)
     c = F.col
     return rows.select("feature", t_p_value(c("t"), c("n") - 1).alias("p_value_ttest"),
-                       F.when(c("t").isNotNull(), rank_p_value(c("w_plus"), c("w_minus"), c("n_nonzero"), c("n"), c("tie_term"))).alias("p_value_wilcoxon"))
+                       F.when(c("t").isNotNull(), rank_p_value(c("w_plus"), c("w_minus"), c("n_nonzero"), c("n"), c("tie_term"), method)).alias("p_value_wilcoxon"))
 
 
 def experiment_metrics(results: DataFrame, resamples: int = 10_000) -> DataFrame:

@@ -18,10 +18,13 @@ from sundial.sources.scans import after_until, last_weeks
 PHONE = "phone_number"
 
 
-def package_weekly(packages: DataFrame) -> DataFrame:
-    """Days and amount per subscriber, week and package family; repeated rows count once."""
-    rows = packages.withColumn("package_name_update", package_family(F.col("package_name"))).filter(
-        is_tracked_package(F.col("package_name_update")))
+def package_weekly(packages: DataFrame, keep_untracked: bool = False) -> DataFrame:
+    """Days and amount per subscriber, week and package family; repeated rows count once.
+
+    Locator, car and child packages are left out unless `keep_untracked`; packages without a name always are.
+    """
+    rows = packages.withColumn("package_name_update", package_family(F.col("package_name")))
+    rows = rows.filter(F.col("package_name_update").isNotNull() if keep_untracked else is_tracked_package(F.col("package_name_update")))
     unique = rows.select(PHONE, "date", "charge_amount", "package_name_update").distinct()
     daily = unique.groupBy(PHONE, "package_name_update", "date").agg(F.sum("charge_amount").alias("amount"))
     return daily.withColumn("week", week_sunday(F.col("date"))).groupBy(PHONE, "package_name_update", "week").agg(
