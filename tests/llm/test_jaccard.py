@@ -35,15 +35,15 @@ def brute(rows):
     return Counter((doc, len(sets[i]), min(least[find(i)], default=None)) for i, (doc, _) in enumerate(rows))
 
 
-def corpus(seed):
+def corpus(seed, sizes, shared):
     """Copies, near copies of all degrees, shared passages and short texts."""
     draw = random.Random(seed)
     word = lambda: f"w{draw.randrange(400)}"
-    passage = [word() for _ in range(40)]
+    passage = [word() for _ in range(shared)]
     texts = []
     for _ in range(40):
-        base = [word() for _ in range(draw.choice([1, 2, 4, 5, 6, 7, 9, 12, 20, 40, 80, 200]))]
-        if draw.random() < 0.3:
+        base = [word() for _ in range(draw.choice(sizes))]
+        if draw.random() < 0.4:
             base += passage
         texts.append(base)
         for _ in range(draw.randrange(5)):
@@ -57,11 +57,12 @@ def corpus(seed):
     return rows + [(1000, None), (1001, ""), (1002, " \n\t "), (None, rows[3][1]), (3, rows[3][1]), (1003, rows[5][1].upper())]
 
 
-@pytest.mark.parametrize("seed,dear", [(1, 64), (2, 0)])
-def test_components_equal_brute_force(spark, monkeypatch, seed, dear):
-    """dear = 0: every segment with strangers is paid for by a one-deletion search instead, where there are free ones."""
-    monkeypatch.setattr(jaccard, "DEAR", dear)
-    rows = corpus(seed)
+@pytest.mark.parametrize("seed,sizes,shared", [
+    (1, [1, 2, 4, 5, 6, 7, 9, 12, 20, 40, 80, 200], 40),
+    # long texts of which more than half is one passage: segments have to be searched a second time
+    (2, [150, 200, 250], 330)])
+def test_components_equal_brute_force(spark, seed, sizes, shared):
+    rows = corpus(seed, sizes, shared)
     draw = random.Random(5)
     draw.shuffle(rows)
     df = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, node int")
