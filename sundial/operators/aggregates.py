@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sundial.functions.numbers import flag, in_range
+from sundial.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -96,12 +97,12 @@ def two_levels(df: DataFrame, outer: str, inner: str, aggregates: list[Column],
                names: dict[str, tuple[str, str]]) -> DataFrame:
     """Inner-level rows with their outer-level subtotal beside them.
 
-    One grouping-sets pass gives both levels; `names` maps an aggregate to its inner and outer
-    column names. The grand total of a full rollup is not computed, as nothing reads it.
+    One grouping-sets aggregate is computed once and kept, as both levels are read from it; `names` maps an
+    aggregate to its inner and outer column names. The grand total of a full rollup is not computed.
     """
-    both = df.groupingSets([[outer, inner], [outer]], outer, inner).agg(
+    both = cut_lineage(df.groupingSets([[outer, inner], [outer]], outer, inner).agg(
         F.grouping(inner).alias("__subtotal"), *aggregates
-    )
+    ))
     details = both.filter("__subtotal = 0").select(
         outer, inner, *[F.col(c).alias(new) for c, (new, _) in names.items()])
     subtotals = both.filter("__subtotal = 1").select(

@@ -34,9 +34,10 @@ def weekly_sightings(messages: DataFrame, calls: DataFrame, snapshot: DateLike,
     columns = [PHONE, "imei", "tac", "date"]
     week = last_weeks(messages, snapshot, 1).select(*columns).unionByName(
         last_weeks(without_days(calls, broken_call_days), snapshot, 1).select(*columns))
+    days = week.distinct()
     if subscribers is not None:
-        week = present_in(week, subscribers, [PHONE])
-    return week.groupBy(PHONE, "imei", "tac").agg(F.count_distinct("date").alias("device_num_day_l1w"))
+        days = present_in(days, subscribers, [PHONE])
+    return days.groupBy(PHONE, "imei", "tac").agg(F.count("date").alias("device_num_day_l1w"))
 
 
 def activation_dates(activated: DataFrame, snapshot: DateLike) -> DataFrame:

@@ -14,7 +14,9 @@ def stored(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame |
     """The stored table, or none before the first write."""
     try:
         return spark.read.format(fmt).load(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
