@@ -18,6 +18,7 @@ QUERIES = [
     "A1_windowed_aggregate", "A2_windowed_distinct", "J7_point_in_time_weekly", "J12_as_of", "FP2_imei_features", "FP3_tac_features",
     "FP5_current_device", "FP6_tac_behaviour", "FP9_province_seed_day", "FP16_cross_features", "FP18_data_4_weeks", "FP22_recharge_features",
     "FP27_usage_8_weeks", "FP28_balance_4_weeks", "FP32_airtime_features_3m", "FP37_asset_features", "FP40_training_table", "DC6_DC7_clean_devices", "EV8_auc",
+    "DC10_near_duplicates", "EV10_dominance", "FP12_yearly_report",
 ]
 
 
