@@ -8,9 +8,9 @@ its one-deletion neighbourhood counts twice). That gives, in turn:
 
 1. A set with H + 1 signatures that no other set has, in each of its bands, has no partner (`live` sets remain).
 2. Members of a bucket (one signature) are held against its least member: those links alone make most components.
-3. What is left is paid for by cost: a segment whose bucket lies within one's own component is free, then come the
-   cheapest other buckets, and where these are large, free segments are searched again with one deletion instead.
-   Only sets of different components are paired.
+3. What is left is paid for by cost: a segment whose bucket has no member of a larger component is free; then come, by
+   price, other buckets and second, one-deletion searches of free segments. Only sets of different components are
+   paired, and of two components the smaller one searches.
 
 All pairs found are verified on their whole sets. Equal sets are one node throughout, so copies are never paired. A
 component names its smallest doc_id.
@@ -32,11 +32,9 @@ from pyspark.sql import functions as F
 
 from sundial.llm.arrays import STEP, by_text, mixed, shingles, words
 from sundial.llm.components import components
-from sundial.llm.shared import saved, text_slices
+from sundial.llm.shared import bounded, saved, text_slices
 
 ROWS_PER_TASK = 1_000_000
-#: A bucket with more strangers than this is dearer than a one-deletion search.
-DEAR = 64
 FLUSH = 1 << 20
 
 
@@ -57,10 +55,15 @@ def most_apart(n: int, k: int) -> int:
     return (n + largest) // 7
 
 
+def segment_count(k: int) -> int:
+    """Segments of a band. Short sets get so many that most segments hold one element: they have few, and each counts."""
+    return 4 << k if k <= 8 else (1 << k) * 34 // 100 + 64
+
+
 def segments(own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Segment of every element in band k, the elements' terms, and the sum of terms of every segment."""
     salted = mixed(own + np.uint64(k * int(STEP) % (1 << 64)))
-    count = (1 << k) * 34 // 100 + 64
+    count = segment_count(k)
     at = ((salted >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
     sums = np.zeros(count, np.uint64)
     np.add.at(sums, at, salted)
@@ -127,7 +130,7 @@ def _blobs(documents: DataFrame, parts: int) -> DataFrame:
 
         def flushed() -> pa.RecordBatch:
             sig, owner = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-            part = ((sig >> np.uint64(48)) * np.uint64(parts) >> np.uint64(16)).astype(np.int64)
+            part = _part(sig, parts).astype(np.int64)
             order = np.argsort(part, kind="stable")
             ends = np.cumsum(np.bincount(part, minlength=parts))
             short = sig[order].view(np.uint8).reshape(-1, 8)[:, :6]
@@ -227,74 +230,92 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct()
 
 
-def _deleted(sets: DataFrame, own_only: bool) -> DataFrame:
-    """sig, without (the signature less one element), node: of the own band, or of all bands."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, members in zip(batch.column("node").to_pylist(), batch.column("members").to_pylist(), strict=True):
-                own = np.frombuffer(members, np.uint64)
-                for k in bands(len(own))[:1 if own_only else 2]:
-                    sig, without = deletions(own, k)
-                    if len(sig):
-                        yield pa.RecordBatch.from_arrays([pa.array(_kept(sig)), pa.array(_kept(without)), pa.array(np.full(len(sig), name))], ["sig", "without", "node"])
+def _searched(sets: DataFrame, parts: int, removing: bool) -> DataFrame:
+    """sig, without, node and next of the segments of all bands.
 
-    return sets.select("node", "members").mapInArrow(run, "sig long, without long, node long")
-
-
-def _full(sets: DataFrame) -> DataFrame:
-    """sig and node of all segments, in all bands."""
+    removing: a row for each element of the segments of two and more, `without` being the signature less that element;
+    else a row for each segment.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, members in zip(batch.column("node").to_pylist(), batch.column("members").to_pylist(), strict=True):
                 own = np.frombuffer(members, np.uint64)
                 for i, k in enumerate(bands(len(own))):
-                    sig, sizes = signatures(own, k)
-                    yield pa.RecordBatch.from_arrays([pa.array(_kept(sig)), pa.array(np.full(len(sig), name)), pa.array(np.full(len(sig), bool(i))), pa.array(sizes > 1)],
-                                                     ["sig", "node", "next", "many"])
+                    sig, without = deletions(own, k) if removing else signatures(own, k)
+                    columns = [_packed(sig, parts), _packed(without, parts) if removing else without, np.full(len(sig), name, np.int64)]
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(np.full(len(sig), bool(i)))], ["sig", "without", "node", "next"])
 
-    return sets.select("node", "members").mapInArrow(run, "sig long, node long, next boolean, many boolean")
+    return sets.select("node", "members").mapInArrow(run, "sig long, without long, node long, next boolean")
 
 
-def _kept(sig: np.ndarray) -> np.ndarray:
-    return sig.view(np.int64)
+def _part(sig: np.ndarray, parts: int) -> np.ndarray:
+    return (sig >> np.uint64(48)) * np.uint64(parts) >> np.uint64(16)
 
 
-def residual(sets: DataFrame, full: DataFrame, roots: DataFrame, sizes: DataFrame) -> DataFrame:
+def _packed(sig: np.ndarray, parts: int) -> np.ndarray:
+    """The form in which signatures are kept: 48 bits, and the part above them."""
+    return (sig & np.uint64((1 << 48) - 1) | _part(sig, parts) << np.uint64(48)).view(np.int64)
+
+
+def residual(near: DataFrame, sets: DataFrame, roots: DataFrame, sizes: DataFrame, parts: int) -> DataFrame:
     """Pairs of different components that the allocation of some set still has to look at.
 
-    `full`: signatures of the live sets; `roots`: component so far; `sizes`: node and n.
+    Of two components the smaller one searches (ties: that with the larger root), so a large one never pays for the
+    strangers among its copies. near: signatures that two live sets share; roots: components so far; sizes: node, n and the
+    number of signatures in the own and next band.
     """
-    placed = full.join(roots, "node", "left").select("sig", "node", "next", "many", F.coalesce("root", "node").alias("root"))
-    by_root = placed.groupBy("sig", "root").agg(F.count_distinct("node").alias("n"))
-    by_sig = by_root.groupBy("sig").agg(F.sum("n").alias("total"))
-    strangers = by_root.join(by_sig, "sig").select("sig", "root", (F.col("total") - F.col("n")).alias("cost"))
-    own = placed.where("NOT next").join(strangers, ["sig", "root"]).select("sig", "node", "root", "many", "cost")
-    need = sizes.select("node", (F.floor(2 * F.col("n") / 7) + 1).alias("need"))
-    free = own.groupBy("node").agg(F.sum(F.expr("IF(cost = 0, 1, 0)")).alias("free"))
-    short = free.join(need, "node").select("node", (F.col("need") - F.col("free")).alias("short")).where("short > 0")
-    # cheap buckets first, then a second, one-deletion search of free segments, then dear buckets
-    units = own.join(short, "node").where("cost > 0 OR many").select(
-        "sig", "node", "root", "short", "cost", F.when(F.col("cost") == 0, 2).otherwise(1).alias("search"),
-        F.when(F.col("cost") == 0, F.lit(DEAR)).otherwise(F.col("cost")).alias("price"))
-    turn = F.row_number().over(Window.partitionBy("node").orderBy("price", "sig"))  # as many rows as the set has segments
-    chosen = saved(units.withColumn("turn", turn).where("turn <= short"), "chosen")
-    paid = chosen.groupBy("node").agg(F.count("*").alias("paid"))
-    lacking = short.join(paid, "node", "left").where("short > coalesce(paid, 0)").limit(1).count()
-    if lacking:
+    weight = roots.groupBy("root").agg(F.count("*").alias("weight"))
+    rooted = saved(sizes.select("node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(weight, "root", "left")
+                   .select("node", "root", F.coalesce("weight", F.lit(1)).alias("weight")), "rooted")
+    few = bounded(rooted)
+    placed = saved(near.join(few, "node"), "placed")
+    by_root = placed.groupBy("sig", "root", "weight").agg(F.count("*").alias("n"))
+    above = Window.partitionBy("sig").orderBy(F.desc("weight"), "root").rowsBetween(Window.unboundedPreceding, -1)  # a row per component
+    by_root = saved(by_root.withColumn("cost", F.coalesce(F.sum("n").over(above), F.lit(0))), "by-root")
+    costly = saved(placed.join(by_root.where("cost > 0").select("sig", "root", "cost"), ["sig", "root"]), "costly")
+    paid = costly.groupBy("node", "next").agg(F.count("*").alias("costly"))
+    k = F.greatest(F.lit(1), F.ceil(F.log2(F.col("n").cast("double"))))
+    schemes = sizes.select("node", F.explode(F.array(
+        F.struct(F.lit(False).alias("next"), F.col("own").alias("held"), _most_apart(k).alias("apart")),
+        F.struct(F.lit(True).alias("next"), F.col("next").alias("held"), _most_apart(k + 1).alias("apart")))).alias("s")).select("node", "s.*").where("held IS NOT NULL")
+    short = saved(schemes.join(paid, ["node", "next"], "left").select(
+        "node", "next", (F.col("apart") + 1 - (F.col("held") - F.coalesce("costly", F.lit(0)))).alias("short")).where("short > 0"), "short")
+    units = costly.join(bounded(short), ["node", "next"]).select("node", "next", "sig", "short", F.lit(1).alias("search"), F.col("cost").alias("price"))
+    if short.limit(1).count():
+        units = units.unionByName(_second_searches(near, sets, costly, short, parts))
+    turn = F.row_number().over(Window.partitionBy("node", "next").orderBy("price", "search", "sig"))  # as many rows as the set has segments, twice
+    chosen = saved(units.withColumn("turn", turn).where("turn <= short").join(few, "node").select("node", "next", "sig", "search", F.col("root").alias("mine"), F.col("weight").alias("own_weight")), "chosen")
+    given = chosen.groupBy("node", "next").agg(F.count("*").alias("given"))
+    if short.join(given, ["node", "next"], "left").where("short > coalesce(given, 0)").limit(1).count():
         raise ArithmeticError("a set has too few segments for the pigeonhole principle; use more segments in its band")
-    others = by_root.join(chosen.where("search = 1").select("sig", "node", F.col("root").alias("mine")), "sig").where("root != mine").select("sig", "root", F.col("node").alias("a"))
-    cheap = others.join(placed.select("sig", "root", F.col("node").alias("b")), ["sig", "root"]).select("a", "b")
-    again = chosen.where("search = 2").select("sig", "node", "root")
-    if not again.limit(1).count():
-        return _ordered(cheap)
-    mine = again.select("sig", F.col("node").alias("a"), F.col("root").alias("mine"))
-    probing = _deleted(sets.join(again.select("node").distinct(), "node", "left_semi"), True).withColumnRenamed("node", "a").join(mine, ["sig", "a"])
-    less = probing.select(F.col("without").alias("sig"), "a", "mine").join(placed.select("sig", F.col("node").alias("b"), "root"), "sig").where("root != mine").select("a", "b")
-    rooted = _deleted(sets, False).join(roots, "node", "left").select(F.col("without").alias("sig"), F.col("node").alias("b"), F.coalesce("root", "node").alias("root"))
-    more = mine.join(rooted, "sig").where("root != mine").select("a", "b")
-    return _ordered(cheap.unionByName(less).unionByName(more))
+    searches = lambda n: bounded(chosen.where(F.col("search") == n).select("sig", F.col("node").alias("a"), "mine", "own_weight"))
+    higher = (F.col("weight") > F.col("own_weight")) | ((F.col("weight") == F.col("own_weight")) & (F.col("root") < F.col("mine")))
+    pairs = (by_root.select("sig", "root", "weight").join(searches(1), "sig").where(higher)
+             .join(placed.select("sig", "root", F.col("node").alias("b")), ["sig", "root"]).select("a", "b"))
+    if chosen.where("search = 2").limit(1).count():
+        again = searches(2)
+        probing = saved(_searched(sets.join(bounded(short.select("node").distinct()), "node", "left_semi"), parts, True).withColumnRenamed("node", "a")
+                        .join(again, ["sig", "a"]).select(F.col("without").alias("sig"), "a", "mine", "own_weight"), "probing")
+        known = lambda df: df.join(few, "node").where(higher).select("a", F.col("node").alias("b"))
+        less = known(_searched(sets, parts, False).select("sig", "node").join(bounded(probing), "sig"))
+        more = known(_searched(sets, parts, True).select(F.col("without").alias("sig"), "node").join(again, "sig"))
+        pairs = pairs.unionByName(less).unionByName(more)
+    return _ordered(pairs)
+
+
+def _most_apart(k):
+    """`most_apart` for the column n."""
+    return F.floor((F.col("n") + F.least(F.pow(F.lit(2.0), k), F.floor(4 * F.col("n") / 3))) / 7)
+
+
+def _second_searches(near: DataFrame, sets: DataFrame, costly: DataFrame, short: DataFrame, parts: int) -> DataFrame:
+    """Free segments of two and more elements that may be searched with one deletion, at the price of the buckets met."""
+    removed = (_searched(sets.join(bounded(short.select("node").distinct()), "node", "left_semi"), parts, True)
+               .join(bounded(short), ["node", "next"]).join(costly.select("sig", "node"), ["sig", "node"], "left_anti"))
+    met = near.groupBy(F.col("sig").alias("without")).agg(F.count("*").alias("n"))
+    return removed.join(met, "without", "left").groupBy("node", "next", "sig", "short").agg((F.sum(F.coalesce("n", F.lit(0))) + 1).alias("price")).select(
+        "node", "next", "sig", "short", F.lit(2).alias("search"), "price")
 
 
 def join(documents: DataFrame) -> DataFrame:
@@ -305,7 +326,7 @@ def join(documents: DataFrame) -> DataFrame:
     total = rows.agg(F.sum(F.col("own") + F.coalesce("next", F.lit(0)))).first()[0] or 0
     parts = min(1 << 16, max(1, -(-int(total) // ROWS_PER_TASK)))
     shared = saved(_shared(_blobs(documents, parts), parts), "shared")
-    links = _links(documents, nodes, shared)
+    links = _links(documents, nodes, shared, parts)
     roots = saved(components(links), "roots")
     named_nodes = nodes.select("node", F.col("doc_id").alias("least_id")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named_nodes.groupBy("root").agg(F.min("least_id").alias("component_id"))
@@ -314,20 +335,20 @@ def join(documents: DataFrame) -> DataFrame:
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
-def _links(documents: DataFrame, nodes: DataFrame, shared: DataFrame) -> DataFrame:
+def _links(documents: DataFrame, nodes: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
     met = shared.groupBy("node").agg(F.sum(F.expr("IF(next, 0, 1)")).alias("met_own"), F.sum(F.expr("IF(next, 1, 0)")).alias("met_next"))
-    apart = lambda k: F.floor((F.col("n") + F.least(F.pow(F.lit(2.0), k), F.floor(4 * F.col("n") / 3))) / 7)
     k = F.greatest(F.lit(1), F.ceil(F.log2(F.col("n").cast("double"))))
-    lone = (F.col("own") - F.col("met_own") > apart(k)) & (F.col("next").isNull() | (F.col("next") - F.col("met_next") > apart(k + 1)))
-    live = saved(nodes.join(met, "node").where(~lone).select("node", "n", "doc_id"), "live")
-    texts = documents.select("doc_id", "text").join(live.select(F.col("doc_id").alias("id")), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    sets = saved(whole_sets(texts).join(live, "node", "left_semi").dropDuplicates(["node"]), "sets")
-    near = shared.join(live.select("node"), "node", "left_semi")
-    least = near.groupBy("sig").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
-    stars = near.join(least, "sig").where("node != a").groupBy(F.col("node").alias("b"), "a").agg(F.count("*").alias("n"))
+    lone = (F.col("own") - F.col("met_own") > _most_apart(k)) & (F.col("next").isNull() | (F.col("next") - F.col("met_next") > _most_apart(k + 1)))
+    live = saved(nodes.join(met, "node", "left").fillna(0, ["met_own", "met_next"]).where(~lone).select("node", "n", "own", "next", "doc_id"), "live")
+    ids = bounded(live.select(F.col("doc_id").alias("id")))
+    texts = documents.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    sets = saved(whole_sets(texts).join(bounded(live.select("node")), "node", "left_semi").dropDuplicates(["node"]), "sets")
+    near = shared.join(bounded(live.select("node")), "node", "left_semi")
+    least = near.groupBy("sig").agg(F.min("node").alias("least"), F.count("*").alias("times")).where("times > 1")
+    near = saved(near.join(least, "sig").select("sig", "node", "next", "least"), "near")
+    stars = near.where("node != least").groupBy(F.col("node").alias("b"), F.col("least").alias("a")).agg(F.count("*").alias("n"))
     best = stars.groupBy("b").agg(F.max_by("a", "n").alias("a"))
     links = saved(verified(best.select("a", "b"), sets), "star-links")
     roots = saved(components(links), "star-roots")
-    full = saved(_full(sets), "full")
-    more = verified(saved(residual(sets, full, roots, live.select("node", "n")), "residual"), sets)
-    return links.unionByName(saved(more, "residual-links"))
+    pairs = saved(residual(near.drop("least"), sets, roots, live.select("node", "n", "own", "next"), parts), "residual")
+    return links.unionByName(saved(verified(pairs, sets), "residual-links"))
