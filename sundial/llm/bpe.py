@@ -13,7 +13,7 @@ from __future__ import annotations
 import base64
 import re
 import sys
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -24,14 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Runs without white space, with at most one blank before them: no piece crosses the border of two runs.
 RUNS = re.compile(rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 NO_RANK = 1 << 62
 
 
-def merge(piece: bytes, ranks: dict[bytes, int], pairs: dict[int, int]) -> list[int]:
+def merge(piece: bytes, ranks: dict[bytes, int], find: Callable[[int, int], int | None]) -> list[int]:
     """Ids of one piece: merge the leftmost pair of least rank until no pair has a rank."""
     if piece in ranks:
         return [ranks[piece]]
@@ -40,10 +40,9 @@ def merge(piece: bytes, ranks: dict[bytes, int], pairs: dict[int, int]) -> list[
     ids = [ranks[piece[i:i + 1]] for i in range(n)]
     after = list(range(1, n + 1))
     before = list(range(-1, n - 1))
-    find = pairs.get
     tree = [NO_RANK] * (2 * size)
     for i in range(n - 1):
-        rank = find(ids[i] << 32 | ids[i + 1])
+        rank = find(ids[i], ids[i + 1])
         if rank is not None:
             tree[size + i] = rank * n + i
     for i in range(size - 1, 0, -1):
@@ -59,13 +58,13 @@ def merge(piece: bytes, ranks: dict[bytes, int], pairs: dict[int, int]) -> list[
         changed = [(j, NO_RANK)]
         if k < n:
             before[k] = i
-            rank = find(ids[i] << 32 | ids[k])
+            rank = find(ids[i], ids[k])
             changed.append((i, NO_RANK if rank is None else rank * n + i))
         else:
             changed.append((i, NO_RANK))
         h = before[i]
         if h >= 0:
-            rank = find(ids[h] << 32 | ids[i])
+            rank = find(ids[h], ids[i])
             changed.append((h, NO_RANK if rank is None else rank * n + h))
         for at, value in changed:
             at += size
@@ -103,6 +102,11 @@ class Pairs:
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
+    def one(self, left: int, right: int) -> int | None:
+        """Rank of one pair, if it has any."""
+        rank = int(self.find(np.array([left]), np.array([right]))[0])
+        return None if rank < 0 else rank
+
     def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks, or -1 where the pair has none or an id is negative."""
         keys = left << 32 | right
@@ -200,13 +204,13 @@ class Codec:
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.letters = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
-        self.pairs = {}
+        pairs = {}
         for word, rank in self.ranks.items():
             for cut in range(1, len(word)):
                 left, right = self.ranks.get(word[:cut]), self.ranks.get(word[cut:])
                 if left is not None and right is not None:
-                    self.pairs[left << 32 | right] = rank
-        self.table = Pairs(self.pairs)
+                    pairs[left << 32 | right] = rank
+        self.table = Pairs(pairs)
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\S", f"[^{WHITE}]").replace(r"\s", f"[{WHITE}]"))
         self.runs = Recent()
         words = [b""] * (max(self.ranks.values()) + 1)
@@ -226,7 +230,7 @@ class Codec:
             if (rank := self.ranks.get(raw)) is not None:
                 known[piece] = rank.to_bytes(4, sys.byteorder)
             elif len(raw) > 64:
-                known[piece] = np.array(merge(raw, self.ranks, self.pairs), np.int32).tobytes()
+                known[piece] = np.array(merge(raw, self.ranks, self.table.one), np.int32).tobytes()
             else:
                 by_size.setdefault((len(raw) - 1).bit_length(), []).append((piece, raw))
         for group in by_size.values():
