@@ -7,8 +7,8 @@ context of total T and D distinct bytes gets (n - 1/2) / T and the escape D / 2T
 Before a text stand five marks, after it one that is predicted like a byte (0xFF, which UTF-8 never has).
 
 `pretrained` counts all training texts: combined counts of six-byte strings by task, summed by Spark, shorter ones by
-marginal sums. The trie is laid out as tables for whole arrays of positions and sent to the tasks in shards of bounded
-size: contexts of two bytes and more go by their last two bytes, words by hash. A text is scored against each shard
+marginal sums. The trie is laid out as tables for whole arrays of positions, written to the shared folder in shards of
+bounded size, and read from there by the tasks; none of it passes the driver: contexts of two bytes and more go by their last two bytes, words by hash. A text is scored against each shard
 in turn and partial sums are added, so a model of any size fits and no score depends on their number. `adaptive`
 starts each document with an empty trie and learns as it reads.
 
@@ -18,20 +18,23 @@ belong to the training texts. Without training texts every byte is uniform and e
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as ds
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sundial.llm.arrays import LOWER, Lookup, by_text, counted, mixed, words
-from sundial.llm.shared import saved, text_slices
+from sundial.llm.shared import saved, shared_folder, text_slices
 
 ORDER = 5
 END = 0xFF
-SHARD = 5_000_000
-HELD = 1 << 21
+SHARD = 2_500_000
+HELD = 1 << 20
 
 
 class Trie:
@@ -140,6 +143,7 @@ def counts(training: DataFrame, text: str = "text") -> DataFrame:
     """(kind, key, n): kind 0 counts words by hash, 1 six-byte strings, 2 texts (key 0)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _HELD.clear()  # a model of an earlier call may still be held by this worker
         found = [Counter(), Counter()]
         texts = 0
         for batch in batches:
@@ -157,61 +161,88 @@ def counts(training: DataFrame, text: str = "text") -> DataFrame:
     return partial.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def trie(strings_counted: DataFrame) -> DataFrame:
-    """Nodes and followers of every context length: (length, key, follower, n, total, distinct, rest, others).
+def trie(strings_counted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Followers (length, key, n) and contexts (length, key, total, distinct, rest, others) of every context length.
 
-    A follower row has the count n of a context and byte (key). A context row (key without the byte) has total and distinct, and rest and
-    others: total and number of the bytes that the next shorter context has besides its own.
+    A follower's key is its context and byte. rest and others: total and number of the bytes that the next shorter
+    context has besides those of this one.
     """
-    out = None
-    longer = strings_counted
-    levels = {ORDER: longer}
+    levels = {ORDER: strings_counted}
     for j in range(ORDER - 1, -1, -1):
-        longer = longer.groupBy(F.expr(f"key & {(1 << 8 * (j + 1)) - 1}L").alias("key")).agg(F.sum("n").alias("n"))
-        levels[j] = longer = saved(longer, f"followers-{j}")
+        shorter = levels[j + 1].groupBy(F.expr(f"key & {(1 << 8 * (j + 1)) - 1}L").alias("key")).agg(F.sum("n").alias("n"))
+        levels[j] = saved(shorter, f"followers-{j}")
     nodes = {j: levels[j].groupBy(F.expr("shiftright(key, 8)").alias("key")).agg(F.sum("n").alias("total"), F.count("*").alias("distinct")) for j in levels}
-    for j in range(ORDER + 1):
-        followers = levels[j].selectExpr(f"{j} AS length", "key", "true AS follower", "n", "0L AS total", "0L AS distinct", "0L AS rest", "0L AS others")
-        node = nodes[j].selectExpr("key", "total", "distinct", "0L AS rest", "0L AS others")
-        if j:
-            short = f"key & {(1 << 8 * j) - 1}L"
-            taken = (levels[j].selectExpr("shiftright(key, 8) AS key", f"{short} AS short").join(levels[j - 1].selectExpr("key AS short", "n AS below"), "short")
-                     .groupBy("key").agg(F.sum("below").alias("taken")))
-            shorter = nodes[j - 1].selectExpr("key AS short", "total AS all", "distinct AS kinds")
-            node = (nodes[j].join(taken, "key").withColumn("short", F.expr(f"key & {(1 << 8 * (j - 1)) - 1}L")).join(shorter, "short")
-                    .selectExpr("key", "total", "distinct", "all - taken AS rest", "kinds - distinct AS others"))
-        node = node.selectExpr(f"{j} AS length", "key", "false AS follower", "0L AS n", "total", "distinct", "rest", "others")
-        level = followers.unionByName(node)
-        out = level if out is None else out.unionByName(level)
-    return out
+    followers, contexts = levels[0].selectExpr("0 AS length", "key", "n"), nodes[0].selectExpr("0 AS length", "key", "total", "distinct", "0L AS rest", "0L AS others")
+    for j in range(1, ORDER + 1):
+        short = f"key & {(1 << 8 * j) - 1}L"
+        taken = (levels[j].selectExpr("shiftright(key, 8) AS key", f"{short} AS short").join(levels[j - 1].selectExpr("key AS short", "n AS below"), "short")
+                 .groupBy("key").agg(F.sum("below").alias("taken")))
+        shorter = nodes[j - 1].selectExpr("key AS short", "total AS all", "distinct AS kinds")
+        node = (nodes[j].join(taken, "key").withColumn("short", F.expr(f"key & {(1 << 8 * (j - 1)) - 1}L")).join(shorter, "short")
+                .selectExpr(f"{j} AS length", "key", "total", "distinct", "all - taken AS rest", "kinds - distinct AS others"))
+        followers, contexts = followers.unionByName(levels[j].selectExpr(f"{j} AS length", "key", "n")), contexts.unionByName(node)
+    return followers, contexts
+
+
+EVERYWHERE = -1
 
 
 def _share(pair: np.ndarray, shards: int) -> np.ndarray:
-    return (mixed(pair) % np.uint64(shards)).astype(np.int64)
+    """Shard of the last two bytes of a context; `_share_sql` is the same."""
+    return (((pair * np.uint64(40503)) & np.uint64(0xFFFF)) * np.uint64(shards) >> np.uint64(16)).astype(np.int64)
+
+
+def _share_sql(pair: str, shards: int) -> str:
+    return f"CAST((((({pair}) & 65535L) * 40503L) & 65535L) * {shards}L DIV 65536L AS INT)"
+
+
+def _rows(folder: str, shards: list[int], columns: list[str]) -> dict[str, np.ndarray]:
+    """Rows of some shards of a table that Spark wrote, read where the task runs."""
+    files, path = fs.FileSystem.from_uri(folder)
+    found = [f"{path}/shard={s}" for s in shards]
+    found = [f for f, info in zip(found, files.get_file_info(found), strict=True) if info.type == fs.FileType.Directory]
+    if not found:
+        return {c: np.zeros(0, np.int64) for c in columns}
+    table = ds.dataset([i.path for f in found for i in files.get_file_info(fs.FileSelector(f)) if i.path.endswith(".parquet")], filesystem=files, format="parquet").to_table(columns)
+    return {c: table.column(c).to_numpy() for c in columns}
+
+
+_HELD: dict[tuple, Scorer] = {}
+
+
+def _scorer(folder: str, shard: int, shards: int) -> Scorer:
+    """The last shard used stays with the worker; it goes before another one is read."""
+    if (folder, shard) not in _HELD:
+        _HELD.clear()
+        _HELD[folder, shard] = Scorer(folder, shard, shards)
+        pa.default_memory_pool().release_unused()
+    return _HELD[folder, shard]
 
 
 class Scorer:
     """One shard of the model as tables."""
 
-    def __init__(self, shard: int, shards: int, word_keys: np.ndarray, word_counts: np.ndarray, rows: dict[str, np.ndarray], texts: int, tokens: int, vocabulary: int):
-        self.shard, self.shards, self.texts, self.tokens, self.vocabulary = shard, shards, texts, tokens, vocabulary
-        self.words, self.word_logs = Lookup(word_keys), np.log10(word_counts + 1.0)
+    def __init__(self, folder: str, shard: int, shards: int):
+        self.shard, self.shards = shard, shards
+        found = _rows(f"{folder}/words", [shard], ["key", "n"])
+        self.words, self.word_logs = Lookup(found["key"].view(np.uint64)), np.log10(found["n"] + 1.0)
         self.followers, self.nodes = {}, {}
-        with np.errstate(divide="ignore"):
-            for j in range(ORDER + 1):
-                own = (rows["length"] == j) & rows["follower"]
-                keys = rows["key"][own].view(np.uint64)
-                self.followers[j] = Lookup(keys), np.log10(rows["n"][own] - 0.5)
-                own = (rows["length"] == j) & ~rows["follower"]
-                total, distinct, rest, others = (rows[c][own].astype(float) for c in ("total", "distinct", "rest", "others"))
-                left = others > 0
-                self.nodes[j] = (Lookup(rows["key"][own].view(np.uint64)), np.log10(total), np.log10(distinct / 2 / total),
-                                 np.where(left, np.log10(np.where(left, rest, 1)), 0), np.where(left, np.log10(np.where(left, others / 2 / np.where(left, rest, 1), 1)), 0))
-                if j == 0:
-                    self.unseen = 256 - (int(distinct[0]) if len(distinct) else 0)
+        found = _rows(f"{folder}/followers", [shard, EVERYWHERE], ["length", "key", "n"])
+        for j in range(ORDER + 1):
+            own = found["length"] == j
+            self.followers[j] = Lookup(found["key"][own].view(np.uint64)), np.log10(found["n"][own] - 0.5)
+        last = found["key"][found["length"] == ORDER].view(np.uint64)
+        found = _rows(f"{folder}/contexts", [shard, EVERYWHERE], ["length", "key", "total", "distinct", "rest", "others"])
+        for j in range(ORDER + 1):
+            own = found["length"] == j
+            total, distinct, rest, others = (found[c][own].astype(float) for c in ("total", "distinct", "rest", "others"))
+            left = others > 0
+            self.nodes[j] = (Lookup(found["key"][own].view(np.uint64)), np.log10(total), np.log10(distinct / 2 / total),
+                             np.log10(np.where(left, rest, 1)), np.log10(np.where(left, others / 2 / np.where(left, rest, 1), 1)))
+            if j == 0:
+                self.unseen = 256 - (int(distinct[0]) if len(distinct) else 0)
         # the longest context decides most positions: its predictions are ready
-        keys = rows["key"][(rows["length"] == ORDER) & rows["follower"]].view(np.uint64)
-        self.ready = self.followers[ORDER][1] - self.nodes[ORDER][1][self.nodes[ORDER][0].find(keys >> np.uint64(8))]
+        self.ready = self.followers[ORDER][1] - self.nodes[ORDER][1][self.nodes[ORDER][0].find(last >> np.uint64(8))]
 
     def bytes_scored(self, keys: np.ndarray) -> np.ndarray:
         """log10 probability of every position; 0 where it belongs to another shard."""
@@ -258,12 +289,12 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 OUTPUT = "n_tokens long, n_known long, base double, score double"
 
 
-def _partial(df: DataFrame, keep: list[str], scorer) -> DataFrame:
+def _partial(df: DataFrame, keep: list[str], folder: str, shard: int, shards: int) -> DataFrame:
     """Columns `keep` and this shard's sums for every row."""
     own = df.select(*keep, F.col("text").alias("__text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Scorer = scorer.value
+        model = _scorer(folder, shard, shards)
         for batch in batches:
             for first, last, data, offsets in text_slices(batch, "__text"):
                 hashes, start, _ = words(data, offsets)
@@ -277,20 +308,6 @@ def _partial(df: DataFrame, keep: list[str], scorer) -> DataFrame:
     return own.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1]), OUTPUT]))
 
 
-def _model(spark, nodes: DataFrame, vocabulary: DataFrame, shard: int, shards: int, *numbers: int):
-    """One shard, fetched in Arrow form and broadcast; its rows are bounded by the number of shards."""
-    if shards > 1:
-        vocabulary = vocabulary.where(F.pmod(F.xxhash64("key"), F.lit(shards)) == shard)
-        pairs = np.flatnonzero(_share(np.arange(1 << 16, dtype=np.uint64), shards) == shard).tolist()
-        last = F.expr("CASE WHEN follower THEN shiftright(key, 8) ELSE key END & 65535").cast("int")
-        mine = spark.createDataFrame([(p,) for p in pairs], "pair int")
-        nodes = nodes.where("length < 2").unionByName(nodes.where("length >= 2").withColumn("pair", last).join(mine, "pair", "left_semi").drop("pair"))
-    words_table, node_table = vocabulary.select("key", "n").toArrow(), nodes.toArrow()
-    rows = {c: node_table.column(c).to_numpy() for c in node_table.column_names}
-    scorer = Scorer(shard, shards, words_table.column("key").to_numpy().view(np.uint64), words_table.column("n").to_numpy(), rows, *numbers)
-    return spark.sparkContext.broadcast(scorer)
-
-
 def pretrained(documents: DataFrame, training: DataFrame, keep: list[str], shard_rows: int = SHARD) -> DataFrame:
     """Columns `keep` with n_tokens, n_known, train_tokens, base_score and score of every row.
 
@@ -299,17 +316,22 @@ def pretrained(documents: DataFrame, training: DataFrame, keep: list[str], shard
     spark = documents.sparkSession
     table = saved(counts(training), "counts")
     words_seen = table.where("kind = 0")
-    nodes = saved(trie(table.where("kind = 1").select("key", "n")), "trie")
+    followers, contexts = trie(saved(table.where("kind = 1").select("key", "n"), "strings"))
     numbers = {r.kind: (r.rows, r.n) for r in table.groupBy("kind").agg(F.count("*").alias("rows"), F.sum("n").alias("n")).collect()}
     texts = numbers.get(2, (0, 0))[1]
     tokens, vocabulary = numbers.get(0, (0, 0))[1] + texts, numbers.get(0, (0, 0))[0] + (texts > 0)
-    shards = max(1, -(-(numbers.get(0, (0, 0))[0] + nodes.count()) // shard_rows))
+    # contexts are fewer than strings, shorter strings fewer than twice as many in all but tiny corpora
+    shards = max(1, -(-(numbers.get(0, (0, 0))[0] + 2 * numbers.get(1, (0, 0))[0]) // shard_rows))
+    folder = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
+    words_seen.select("key", "n", F.pmod("key", F.lit(shards)).cast("int").alias("shard")).repartition("shard").write.partitionBy("shard").parquet(f"{folder}/words")
+    for name, df, pair in (("followers", followers, "shiftright(key, 8)"), ("contexts", contexts, "key")):
+        df.withColumn("shard", F.expr(f"IF(length < 2, {EVERYWHERE}, {_share_sql(pair, shards)})")).repartition("shard").write.partitionBy("shard").parquet(f"{folder}/{name}")
     own = documents.select(*keep, "text")
     if shards == 1:
-        total = _partial(own, keep, _model(spark, nodes, words_seen, 0, 1, texts, tokens, vocabulary))
+        total = _partial(own, keep, folder, 0, 1)
     else:
         own = own.withColumn("__row", F.xxhash64("text"))
-        parts = [saved(_partial(own, [*keep, "__row"], _model(spark, nodes, words_seen, i, shards, texts, tokens, vocabulary)), "scores") for i in range(shards)]
+        parts = [saved(_partial(own, [*keep, "__row"], folder, i, shards), "scores") for i in range(shards)]
         every = parts[0]
         for part in parts[1:]:
             every = every.unionByName(part)
