@@ -58,8 +58,8 @@ def op6_lm_score(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
-    """Passages that repeat an earlier one, by document."""
-    return repeats.report(_table(spark, folder, "documents"))
+    """Lines, paragraphs, windows of 30 words and runs of sentences that repeat an earlier one, by document."""
+    return repeats.report(_table(spark, folder, "documents"), every=True)
 
 
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:

@@ -138,9 +138,14 @@ def removed(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
             .select(F.expr(f"nullif(doc_id, {LAST}L)").alias("doc_id"), "text_key", "start", "end", "words", F.expr(f"nullif(earlier, {LAST}L)").alias("earlier")))
 
 
-def report(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """One row per document that loses a passage: spans (start:end, comma-joined), their words, and documents with earlier occurrences."""
-    return (removed(documents, least_words).groupBy("doc_id", "text_key")
+def report(documents: DataFrame, least_words: int = LEAST_WORDS, every: bool = False) -> DataFrame:
+    """One row per document that loses a passage: spans (start:end, comma-joined), their words, and documents with earlier occurrences.
+
+    `every` adds all later occurrences of lines, paragraphs and windows of `least_words` words to the runs of sentences.
+    """
+    if every:
+        from sundial.llm import passages
+    return ((passages.removed if every else removed)(documents, least_words).groupBy("doc_id", "text_key")
             .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("s"), F.sum("words").alias("removed_words"), F.array_sort(F.collect_set("earlier")).alias("earlier_doc_ids"))
             .select("doc_id", F.size("s").cast("long").alias("n_removed"), "removed_words",
                     F.concat_ws(",", F.transform("s", lambda x: F.concat(x["start"].cast("string"), F.lit(":"), x["end"].cast("string")))).alias("spans"), "earlier_doc_ids"))
