@@ -130,6 +130,43 @@ def k5(f):
     return f.spark.read.parquet(path)
 
 
+#: The same four writers over the whole table.
+EVERY = "SELECT phone_number, imei, tac, device_num_day_l1w, date FROM imei_weekly"
+
+
+@query("K1_overwrite_one_partition_whole", EVERY.replace("device_num_day_l1w,", f"device_num_day_l1w + CASE WHEN date = {SNAP} THEN 10 ELSE 0 END AS device_num_day_l1w,"), "imei_weekly", texts="date")
+def k1_whole(f):
+    path = scratch(f)
+    sinks.write_partitions(f.imei_weekly(), path, cluster=True)
+    newest = scans.on_day(f.imei_weekly(), ORDERS_SNAPSHOT).withColumn("device_num_day_l1w", F.col("device_num_day_l1w") + 10).drop("date")
+    sinks.write_snapshot(newest, path, ORDERS_SNAPSHOT)
+    return f.spark.read.parquet(path).withColumn("date", F.col("date").cast("date"))
+
+
+@query("K3_incremental_update_whole", EVERY, "imei_weekly", texts="date")
+def k3_whole(f):
+    path = scratch(f)
+    whole = f.imei_weekly().repartition("date")
+    increments.append_new_days(whole.where(F.col("date") <= F.lit(ORDERS_SNAPSHOT)), path)
+    increments.update_features(whole, path, lambda raw: raw)
+    increments.append_new_days(whole, path)
+    return f.spark.read.parquet(path).withColumn("date", F.col("date").cast("date"))
+
+
+@query("K4_bounded_sorted_files_whole", EVERY, "imei_weekly", texts="date")
+def k4_whole(f):
+    path = scratch(f)
+    sinks.write_files(f.imei_weekly(), path, 2, ["phone_number", "imei"])
+    return f.spark.read.parquet(path)
+
+
+@query("K5_compressed_files_whole", EVERY, "imei_weekly", texts="date")
+def k5_whole(f):
+    path = scratch(f)
+    sinks.write_files(f.imei_weekly(), path, 1, compression="snappy")
+    return f.spark.read.parquet(path)
+
+
 @query("K6_several_outputs", "SELECT 'tac' AS kind, tac AS key, count(*) AS n FROM imei_weekly GROUP BY 2 UNION ALL SELECT 'naid', phone_number % 9, count(*) FROM imei_weekly GROUP BY 2", "imei_weekly", texts="kind")
 def k6(f):
     path = scratch(f)
