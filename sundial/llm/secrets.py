@@ -26,7 +26,7 @@ HEX = r"""[0-9a-f]{32,}"""
 KINDS = ["assign", "access", "hex", "value", "login", "endpoint"]
 
 # Own choice: the weak patterns.
-VALUE = r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/=_-]{0,200}[0-9])(?=[A-Za-z0-9+/=_-]{0,200}[A-Za-z])[A-Za-z0-9+/=_-]{20,}"
+VALUE = r"[A-Za-z0-9+/=_-]{20,}"
 LOGIN = r"""(?i:user(?:name)?|login|account|client_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@-]+"""
 ENDPOINT = r"""(?:https?|ftp|ssh|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s"'<>]+"""
 REACH = 200
@@ -86,7 +86,7 @@ def strong_spans(df: DataFrame, text: str = "text") -> DataFrame:
                       _spans(own, HEX, 2, F.lit(True)).alias("__hex"),
                       (signs | F.contains(own, F.lit("AKIA"))).alias("__maybe"))
             .select("*", F.concat("__assign", "__access", "__hex").alias("__strong"))
-            .select("*", _spans(own, VALUE, 3, F.col("__maybe")).alias("__value"), _spans(own, LOGIN, 4, signs).alias("__login"),
+            .select("*", _spans(own, VALUE, 3, F.col("__maybe"), lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]")).alias("__value"), _spans(own, LOGIN, 4, signs).alias("__login"),
                     _spans(own, ENDPOINT, 5, signs & F.contains(own, F.lit("://"))).alias("__endpoint"))
             .select("*", F.filter(F.concat("__value", "__login", "__endpoint"), lambda s: ~_overlaps(F.col("__strong"), s)).alias("__weak")))
 
