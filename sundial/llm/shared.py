@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `saved` wrote, once everything that reads them is written itself."""
+    for df in tables:
+        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            files, path = fs.FileSystem.from_uri(folder)
+            files.delete_dir(path)
+
+
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A table that is already written may be broadcast if it has few rows; a larger one is joined by sorting."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
