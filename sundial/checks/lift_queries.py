@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sundial.checks.fixtures import COSTS
 from sundial.checks.registry import query
-from sundial.plans import lift
+from sundial.checks.source_queries import scratch
+from sundial.operators import ranges, sampling
+from sundial.plans import evaluation, lift
 
 KEYS = ["phone_number", "disburse_date"]
+SPLIT = dt.date(2000, 1, 1)
 
 
 def base_table(f):
@@ -39,25 +44,54 @@ def ev1(f):
     return joined(f)
 
 
-@query("EV2_sampled_fraction", None)
+def row_draw_sql(seed: int) -> str:
+    """The draw of KEYS: one step per key part and a last one."""
+    x = str(seed)
+    for part in ("phone_number", "(disburse_date - DATE '1970-01-01')", "0"):
+        y = f"(({x} * {sampling.MIX} + {part}) % {sampling.PRIME})"
+        x = f"(({y} * {y} % {sampling.PRIME} * {sampling.LIFT} + {sampling.SHIFT}) % {sampling.PRIME})"
+    return x
+
+
+JOINED = ("label", "c_acctbal|c_exact|new_price|sms_key", "disburse_date|product|segment")
+
+
+@query("EV2_sampled_fraction", f"WITH {BASE} SELECT * FROM joined WHERE {row_draw_sql(42)} < {int(0.3 * sampling.PRIME)}", *JOINED, digits=2)
 def ev2(f):
     return lift.sampled_rows(joined(f), KEYS, 42, fraction=0.3)
 
 
-@query("EV2_sampled_rows", None)
+@query("EV2_sampled_rows", f"WITH {BASE} SELECT * FROM joined WHERE label_value = 1 QUALIFY row_number() OVER (ORDER BY {row_draw_sql(43)}, phone_number, disburse_date) <= 500", *JOINED, digits=2)
 def ev2b(f):
     return lift.sampled_rows(joined(f), KEYS, 43, rows=500, row_filter="label_value = 1")
 
 
+# strategy: filter (a filter and a cap, own seed), random (a share, own seed), fixed (a share of all, then a cap)
+STRATEGIES = {
+    "filter": (dict(rows=300, filters=["label_value = 0", "c_acctbal > 1000"]), f"SELECT 1 AS experiment_id, * FROM joined WHERE c_acctbal > 1000 QUALIFY row_number() OVER (ORDER BY {row_draw_sql(43)}, phone_number, disburse_date) <= 300"),
+    "random": (dict(fraction=0.2), f"SELECT 1 AS experiment_id, * FROM joined WHERE {row_draw_sql(43)} < {int(0.2 * sampling.PRIME)}"),
+    "fixed": (dict(fraction=0.5, rows=400), f"SELECT 1 AS experiment_id, * FROM joined WHERE {row_draw_sql(42)} < {int(0.5 * sampling.PRIME)} QUALIFY row_number() OVER (ORDER BY {row_draw_sql(42)}, phone_number, disburse_date) <= 400"),
+}
+
+
+def sampled_by(strategy):
+    options, sql = STRATEGIES[strategy]
+
+    @query(f"EV2_strategy_{strategy}", f"WITH {BASE} {sql}", *JOINED, digits=2)
+    def build(f):
+        return sampling.experiment_rows(joined(f), KEYS, 42, 1, strategy, **options).withColumn("experiment_id", F.lit(1))
+
+
+for each in STRATEGIES:
+    sampled_by(each)
+
+
 @query("EV3_prepared_rows", f"WITH {BASE} SELECT phone_number, disburse_date, label_value, product, coalesce(c_acctbal, -1) AS c_acctbal, coalesce(c_exact, -1) AS c_exact, segment, coalesce(new_price, -1) AS new_price, coalesce(sms_key, -1) AS sms_key, "
        "strftime(disburse_date, '%Y-%m') AS disburse_month FROM joined", "label", "c_acctbal|c_exact|new_price|sms_key", "disburse_date|product|segment|disburse_month", digits=2)
 def ev3(f):
     return lift.prepared_rows(joined(f), KEYS, "label_value")
 
 
-SPLIT = dt.date(2000, 1, 1)
-
-
 @query("EV4_time_split", f"WITH {BASE} SELECT CASE WHEN disburse_date < DATE '2000-01-01' THEN 'train' ELSE 'test' END AS part, count(*) AS n, sum(label_value) AS positives FROM joined GROUP BY 1", "label", texts="part")
 def ev4(f):
     train, test = lift.time_split(joined(f), SPLIT)
@@ -65,25 +99,77 @@ def ev4(f):
     return both.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("label_value").alias("positives"))
 
 
-@query("EV5_feature_samples", None)
+FEATURES = [c for c in COSTS if c.endswith("cost")]
+
+
+def feature_draw_sql(experiment: int) -> str:
+    x = "42::BIGINT"
+    for part in (str(experiment), "i", "0"):
+        y = f"(({x} * {sampling.MIX} + {part}) % {sampling.PRIME})"
+        x = f"(({y} * {y} % {sampling.PRIME} * {sampling.LIFT} + {sampling.SHIFT}) % {sampling.PRIME})"
+    return x
+
+
+@query("EV5_feature_samples", "WITH wide AS (SELECT phone_number, list_value(" + ", ".join(FEATURES) + ") AS v FROM usage_pre), "
+       + ", ".join(f"e{e} AS (SELECT list(i::BIGINT) AS chosen FROM (SELECT i FROM range({len(FEATURES)}) r(i) ORDER BY {feature_draw_sql(e)}, i LIMIT 5))" for e in range(4))
+       + " SELECT phone_number, " + ", ".join(f"list_sum(list_transform(e{e}.chosen, lambda i: v[i + 1])) AS experiment_{e}" for e in range(4)) + " FROM wide, e0, e1, e2, e3",
+       "usage_pre", "experiment_.*", digits=2)
 def ev5(f):
-    features = [c for c in f.usage_pre().columns if c.endswith("cost")]
-    chosen = lift.feature_samples(features, 5, 4)
+    chosen = lift.feature_samples(FEATURES, 5, 4)
     return f.usage_pre().select("phone_number", *[sum((F.col(c) for c in names[1:]), F.col(names[0])).alias(f"experiment_{i}") for i, names in enumerate(chosen)])
 
 
-def model_rows(f):
-    return lift.time_split(lift.prepared_rows(joined(f), KEYS, "label_value"), SPLIT)
+PREPARED = f"{BASE}, prepared AS (SELECT *, disburse_date >= DATE '2000-01-01' AS is_test, {row_draw_sql(42)} AS draw FROM joined)"
+EARLIER_ROWS = "OVER (PARTITION BY {c} ORDER BY is_test, draw, phone_number, disburse_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 
 
-@query("EV6_experiment_predictions", None)
-def ev6(f):
-    train, test = model_rows(f)
-    options = lift.ModelOptions(trees=8, depth=3)
-    return lift.experiment_predictions(train, test, ["c_acctbal", "c_exact"], ["new_price"], "label_value", KEYS, "new_price", 0, options, noise=True)
+def statistic_sql(c: str) -> str:
+    over = EARLIER_ROWS.format(c=c)
+    return (f"(coalesce(sum(CASE WHEN is_test THEN 0 ELSE label_value END) {over}, 0) + (SELECT avg(label_value) FROM prepared WHERE NOT is_test)) "
+            f"/ (coalesce(sum((NOT is_test)::INT) {over}, 0) + 1) AS {c}")
+
+
+def on_test() -> Column:
+    return F.col("disburse_date") >= F.lit(SPLIT)
+
+
+@query("EV6_target_statistics", f"WITH {PREPARED} SELECT phone_number, disburse_date, {statistic_sql('segment')}, {statistic_sql('product')} FROM prepared", "label", "segment|product", "disburse_date", digits=7)
+def ev6b(f):
+    rows = joined(f).select(*KEYS, "label_value", "segment", "product")
+    return evaluation.target_statistics(rows, ["segment", "product"], "label_value", KEYS, ~on_test()).drop("label_value")
+
+
+@query("EV6_validation_split", f"WITH {PREPARED} SELECT phone_number, disburse_date, row_number() OVER (PARTITION BY label_value ORDER BY draw) <= count(*) OVER (PARTITION BY label_value) // 5 AS held_out FROM prepared", "label", texts="disburse_date")
+def ev6c(f):
+    rows = joined(f)
+    return rows.select(*KEYS, evaluation.validation_split(rows, "label_value", KEYS, 0.2).alias("held_out"))
+
+
+MODEL = evaluation.ModelOptions(trees=8, first=4, patience=2, depth=3)
+NUMBERS, TEXTS, CANDIDATES = ["c_acctbal", "c_exact"], ["segment", "product"], ["new_price", "sms_key"]
+
 
+def run(f, **options):
+    """A run over the whole joined table: text columns among the base features, two candidates."""
+    chosen = evaluation.RunOptions(**({"base_size": 3, "experiments": 2, "fraction": 0.8, "workers": 2, "noise": True, "model": MODEL} | options))
+    return evaluation.Run(f.spark, scratch(f), KEYS, "label_value", [*NUMBERS, *TEXTS], CANDIDATES, TEXTS, chosen)
 
-@query("EV7_noise_column", None)
+
+@query("EV6_experiment_predictions", None)
+def ev6(f):
+    """Scores of the test rows by a model with text columns, and by one without the candidate."""
+    mine = run(f, experiments=1)
+    rows = mine.prepare(joined(f), on_test())
+    train, test = rows.where("NOT __test"), rows.where("__test")
+    out = test.select(*KEYS, F.col("label_value").alias("y_true"))
+    for name, feature in (("p_base", evaluation.BASELINE), ("p_new", "new_price")):
+        features = mine.features_of(feature, 0)
+        model = evaluation.fit_model(train, features, "label_value", KEYS, MODEL)
+        out = out.join(evaluation.scored(model, test, features, KEYS).withColumnRenamed("score", name), KEYS)
+    return out
+
+
+@query("EV7_noise_column", f"WITH {BASE} SELECT phone_number, disburse_date, {row_draw_sql(42)} / {sampling.PRIME}::DOUBLE AS {lift.NOISE} FROM joined", "label", lift.NOISE, "disburse_date", digits=9)
 def ev7(f):
     return lift.with_noise(joined(f), KEYS).select(*KEYS, lift.NOISE)
 
@@ -125,7 +211,7 @@ def draw_sql(n: str) -> str:
     return f"((({x} * {x}) % {p} * {g}) % {p}) % {n}"
 
 
-RESAMPLES = 2_000
+RESAMPLES = 10_000
 INTERVAL = (f"gaps AS (SELECT feature, list(gap ORDER BY experiment_id) AS g, count(*) AS n FROM results GROUP BY 1), "
             f"means AS (SELECT feature, r.b, avg(g[({draw_sql('n')}) + 1]) AS m FROM gaps, range(1, {RESAMPLES + 1}) r(b), LATERAL (SELECT unnest(range(1, n + 1)) AS i) i GROUP BY 1, 2), "
             "ci AS (SELECT feature, quantile_cont(m, 0.025) AS ci_lo, quantile_cont(m, 0.975) AS ci_hi FROM means GROUP BY 1)")
@@ -142,7 +228,7 @@ def ev11(f):
        "w AS (SELECT feature, coalesce(sum(k) FILTER (gap > 0), 0) AS w_plus, coalesce(sum(k) FILTER (gap < 0), 0) AS w_minus, count(*) AS n_nonzero, sum(c * c - 1) AS tie_term FROM r GROUP BY 1) SELECT * FROM t LEFT JOIN w USING (feature)",
        "predictions", "t|w_plus|w_minus|tie_term", "feature", digits=5)
 def ev12(f):
-    return lift.paired_statistics(lift.auc(f.predictions()))
+    return lift.paired_statistics(lift.auc(f.predictions())).drop("doubled_ranks")
 
 
 # by brute force: the t tail as a Riemann sum, the rank statistic over all sign assignments
@@ -196,7 +282,17 @@ def ev13b(f):
 @query("EV14_compare_features", None)
 def ev14(f):
     stored = lift.auc(f.predictions().filter("feature = 'f0'"))
-    return lift.compare_features(f.predictions(), stored, resamples=500)
+    return lift.compare_features(f.predictions(), stored)
+
+
+@query("EV14_evaluation_run", None)
+def ev14c(f):
+    """From candidates over samples, fits and areas to a decision for each; started again, it has nothing left to fit."""
+    mine = run(f)
+    result = evaluation.evaluate(mine, joined(f), on_test())
+    if mine.fit_pending(joined(f), on_test()):
+        raise RuntimeError("stored cells were fitted again")
+    return result
 
 
 @query("EV14_not_evaluated", "SELECT DISTINCT feature, experiment_id FROM predictions WHERE feature <> 'f0'", "predictions", texts="feature")
@@ -227,3 +323,21 @@ def ev15b(f):
 @query("EV15_best_accepted", f"SELECT feature, score FROM ({decision_sql(CURRENT)}) WHERE decision <> 'reject' ORDER BY score DESC, feature LIMIT 2", "predictions", "score", "feature", whole=False)
 def ev15c(f):
     return lift.best_accepted(ev13(f), 2).select("feature", "score")
+
+
+@query("EV15_rotated_columns", f"WITH {PREPARED}, r AS (SELECT *, row_number() OVER (ORDER BY draw, phone_number, disburse_date) - 1 AS k, count(*) OVER () AS n FROM prepared WHERE is_test) "
+       "SELECT a.phone_number, a.disburse_date, b.c_acctbal AS partner_balance FROM r a JOIN r b ON b.k = (a.k + 3) % a.n", "label", "partner_balance", "disburse_date", digits=2)
+def ev15d(f):
+    rows = joined(f).where(on_test())
+    place = F.struct(sampling.row_draw(rows, KEYS, 42).alias("draw"), *KEYS)
+    return ranges.rotated(rows.withColumn("place", place), "place", ["c_acctbal"], 3).select(*KEYS, F.col("partner.c_acctbal").alias("partner_balance"))
+
+
+@query("EV15_fitted_importances", None)
+def ev15e(f):
+    """Importances of the stored models of a candidate and of its baselines, summed up over experiments."""
+    mine = run(f)
+    mine.fit_pending(joined(f), on_test())
+    long = mine.importances("new_price")
+    return lift.importance_summary(long.where("kind = 'rotation'")).withColumn("kind", F.lit("rotation")).unionByName(
+        lift.importance_summary(long.where("kind = 'split'")).withColumn("kind", F.lit("split")))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sundial.functions.dates import DateLike, day, eligible_sunday, sunday_on_or_before
 from sundial.operators.columns import decimals_to_double
+from sundial.operators.ranges import carried
 
 BROADCAST_ROWS = 2_000_000
 # A key with more rows than this is split into this many parts in `hot_key_join`.
@@ -162,23 +163,20 @@ def as_of(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, ri
           values: list[str]) -> DataFrame:
     """For every left row the values of the newest right row not after it.
 
-    Both sides are stacked and the last right row is carried forward inside (key, month); what a
-    month inherits comes from a small table of the newest right row per (key, month). A key that
-    holds a third of all rows is thus cut along time, and the result is exact.
+    Both sides are stacked and dealt by ranges of (key, time) with about equal row counts; the last right row is carried forward
+    inside a range, and what a range inherits comes from a small table with one row per key and range. A key that holds nearly
+    all rows, or has them all on one day, is cut like any other. Of right rows at one time the largest values count; null keys
+    match nothing.
     """
     payload = F.struct(F.col(right_time).alias("__at"), *values)
     stacked = left.withColumns({"__time": F.col(left_time), "__value": F.lit(None).cast(_struct_type(right, right_time, values)),
                                 "__side": F.lit(1)})
-    points = right.select(*keys, F.col(right_time).alias("__time"), payload.alias("__value"), F.lit(0).alias("__side"))
-    both = stacked.unionByName(points, allowMissingColumns=True).withColumn("__month", F.trunc("__time", "MM"))
-    monthly = both.groupBy(*keys, "__month").agg(F.max("__value").alias("__newest"))
-    earlier = Window.partitionBy(*keys).orderBy("__month").rowsBetween(Window.unboundedPreceding, -1)
-    inherited = monthly.select(*keys, "__month", F.max("__newest").over(earlier).alias("__inherited"))
-    inside = Window.partitionBy(*keys, "__month").orderBy("__time", "__side").rowsBetween(Window.unboundedPreceding, 0)
-    carried = both.withColumn("__value", F.last("__value", ignorenulls=True).over(inside))
-    rows = carried.filter("__side = 1").join(inherited, [*keys, "__month"], "left")
-    value = F.coalesce("__value", "__inherited")
-    return rows.select(*left.columns, *[value.getField(v).alias(v) for v in values])
+    points = right.dropna(subset=[*keys, right_time]).groupBy(*keys, F.col(right_time).alias("__time")).agg(F.max(payload).alias("__value")).withColumn("__side", F.lit(0))
+    both = carried(stacked.unionByName(points, allowMissingColumns=True), keys, ["__time", "__side"], "__value")
+    known = F.lit(True)
+    for key in [*keys, "__time"]:
+        known = known & F.col(key).isNotNull()
+    return both.filter("__side = 1").select(*left.columns, *[F.when(known, F.col("__value").getField(v)).alias(v) for v in values])
 
 
 def _struct_type(right: DataFrame, right_time: str, values: list[str]):
@@ -207,21 +205,40 @@ def valid_at(df: DataFrame, moment: DateLike | Column, start: str = "date_start"
 
 def valid_on_days(df: DataFrame, days: DataFrame, date: str = "date", start: str = "date_start",
                   end: str = "date_end") -> DataFrame:
-    """Intervals joined to the days they hold, as an equi join on months; a null start or end is open.
+    """Intervals joined to the days they hold, as an equi join on dyadic blocks; a null start or end is open.
 
-    Open ends reach to the first and last day of the day table, so no day and no interval is lost and results do
-    not depend on today. Each interval is expanded to the months it touches, so no nested loop is planned.
+    An interval is cut into blocks of 1, 2, 4, ... days, at most two a size; a day lies in one block of every size. An interval and
+    a day share exactly one block if the interval holds the day and none otherwise, so the join makes the rows of the result and no
+    others. Open ends reach to the first and last day of the day table, so results do not depend on today.
+
+    The day side has one row per distinct day and size; it is broadcast where the days' own range proves it small.
     """
     first, last = days.agg(F.min(date), F.max(date)).first()
     if first is None:
         return df.join(days, F.lit(False))
-    begin = F.greatest(F.coalesce(F.col(start), F.lit(first)), F.lit(first))
-    until = F.least(F.coalesce(F.col(end), F.lit(last)), F.lit(last))
-    months = df.filter(begin <= until).withColumn(
-        "__month", F.explode(F.sequence(F.trunc(begin, "MM"), F.trunc(until, "MM"), F.expr("interval 1 month"))))
-    keyed = days.withColumn("__month", F.trunc(date, "MM"))
-    hit = (F.col(start).isNull() | (F.col(date) >= F.col(start))) & (F.col(end).isNull() | (F.col(date) <= F.col(end)))
-    return months.join(keyed, "__month").filter(hit).drop("__month")
+    sizes = ((last - first).days + 1).bit_length()
+    number = lambda c: F.datediff(c, day(first))
+    begin = number(F.greatest(F.coalesce(F.col(start), day(first)), day(first)))
+    until = number(F.least(F.coalesce(F.col(end), day(last)), day(last))) + 1
+
+    def ends(size: Column) -> Column:
+        """The blocks of one size at either end of what larger blocks do not cover."""
+        width = F.pow(F.lit(2), size).cast("long")
+        low, high = F.ceil(F.col("__begin") / width), F.floor(F.col("__until") / width)
+        open_ = low < high
+        return F.array(F.when(open_ & (low % 2 == 1), F.struct(size.alias("size"), low.alias("block"))),
+                       F.when(open_ & (high % 2 == 1), F.struct(size.alias("size"), (high - 1).alias("block"))))
+
+    cut = df.withColumns({"__begin": begin, "__until": until}).filter("__begin < __until")
+    blocks = F.filter(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(sizes)), ends)), lambda b: b.isNotNull())
+    cut = cut.select(*df.columns, F.inline(blocks).alias("__size", "__block"))
+    every = days.filter(F.col(date).isNotNull()).select(date).distinct()
+    held = every.select(F.explode(F.sequence(F.lit(0), F.lit(sizes))).alias("__size"), date).withColumn(
+        "__block", F.floor(number(F.col(date)) / F.pow(F.lit(2), F.col("__size"))))
+    if ((last - first).days + 1) * (sizes + 1) <= BROADCAST_ROWS:
+        held = F.broadcast(held)
+    hits = cut.join(held, ["__size", "__block"]).drop("__size", "__block")
+    return hits.join(days, date).select(*df.columns, *days.columns)
 
 
 def first_candidate(df: DataFrame, candidates: str, catalog: DataFrame, code: str, value: str, row_id: list[str]) -> DataFrame:

@@ -1,9 +1,8 @@
-"""Does a candidate feature improve a model? Data preparation, models, exact metrics, decision."""
+"""Does a candidate feature improve a model? Data preparation, exact metrics, decision; `evaluation` fits the models."""
 
 from __future__ import annotations
 
 import math
-import random
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +11,8 @@ from pyspark.sql import functions as F
 from sundial.functions.dates import DateLike, day, month_label
 from sundial.operators.columns import fill_missing
 from sundial.operators.ordering import top_n
+from sundial.operators.sampling import PRIME as DRAWS
+from sundial.operators.sampling import capped, draw_of, fraction_of, row_draw
 from sundial.operators.sequences import running_totals
 from sundial.session import cut_lineage
 
@@ -36,16 +37,13 @@ def sampled_rows(df: DataFrame, keys: list[str], seed: int, fraction: float | No
                  row_filter: str | None = None) -> DataFrame:
     """Rows of one experiment: an optional filter, then a row cap or a fraction.
 
-    Both follow a hash of the key, so a repeated task draws the same rows again. The cap is a
-    distributed top-n on that hash.
+    Both follow a draw from the key, so a repeated task draws the same rows again. The cap is exact: a filter on the draw below
+    which so many rows lie.
     """
     chosen = df.filter(row_filter) if row_filter else df
-    draw = F.xxhash64(*keys, F.lit(seed))
     if rows is not None:
-        return top_n(chosen.withColumn("__draw", draw), [F.col("__draw"), *[F.col(k) for k in keys]], rows).drop("__draw")
-    if fraction is not None:
-        return chosen.filter(F.pmod(draw, F.lit(1_000_000)) < int(fraction * 1_000_000))
-    return chosen
+        return capped(chosen, keys, seed, rows)
+    return chosen if fraction is None else fraction_of(chosen, keys, seed, fraction)
 
 
 def prepared_rows(df: DataFrame, keys: list[str], target: str, date: str = "disburse_date") -> DataFrame:
@@ -61,79 +59,14 @@ def time_split(df: DataFrame, split: DateLike, date: str = "disburse_date") -> t
 
 
 def feature_samples(features: list[str], size: int, experiments: int, seed: int = 42) -> list[list[str]]:
-    """The base features of every experiment."""
-    draw = random.Random(seed)
-    return [draw.sample(features, min(size, len(features))) for _ in range(experiments)]
+    """The base features of every experiment: those whose places in the list have the smallest draws, in the order of the list."""
+    order = [sorted(range(len(features)), key=lambda i: (draw_of([e, i], seed), i)) for e in range(experiments)]
+    return [[features[i] for i in sorted(places[:size])] for places in order]
 
 
 def with_noise(df: DataFrame, keys: list[str], seed: int = 42) -> DataFrame:
-    """A uniform noise column from a hash of the key, the same on every evaluation."""
-    return df.withColumn(NOISE, F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(2**40)) / F.lit(float(2**40)))
-
-
-# Models
-
-@dataclass(frozen=True)
-class ModelOptions:
-    trees: int = 100
-    depth: int = 4
-    step: float = 0.1
-    seed: int = 42
-    validation_percent: int = 20
-    bins: int = 32
-
-
-def fit_model(train: DataFrame, features: list[str], target: str, keys: list[str], options: ModelOptions):
-    """Boosted trees with balanced classes; early stopping finds the size, then all rows are used."""
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.feature import VectorAssembler
-
-    assemble = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    sizes = {row[target]: row["n"] for row in train.groupBy(target).agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(sizes.values())
-    weight = F.when(F.col(target) == 1, total / (2.0 * sizes.get(1, total))).otherwise(total / (2.0 * sizes.get(0, total)))
-    held_out = F.pmod(F.xxhash64(*keys, F.lit(options.seed)), F.lit(100)) < options.validation_percent
-    rows = assemble.transform(train).select(
-        "features", F.col(target).cast("double").alias("label"), weight.alias("weight"), held_out.alias("held_out")).persist()
-    trees = GBTClassifier(maxIter=options.trees, maxDepth=options.depth, stepSize=options.step, seed=options.seed, maxBins=options.bins,
-                          weightCol="weight", validationIndicatorCol="held_out")
-    try:
-        best = trees.fit(rows).getNumTrees
-        plain = GBTClassifier(maxIter=max(best, 1), maxDepth=options.depth, stepSize=options.step, seed=options.seed,
-                              maxBins=options.bins, weightCol="weight")
-        return assemble, plain.fit(rows)
-    finally:
-        rows.unpersist()
-
-
-def probability(model, df: DataFrame, alias: str) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-
-    assemble, trees = model
-    scored = trees.transform(assemble.transform(df))
-    extra = [c for c in ("features", "rawPrediction", "probability", "prediction") if c not in df.columns]
-    return scored.withColumn(alias, vector_to_array("probability")[1]).drop(*extra)
-
-
-def experiment_predictions(train: DataFrame, test: DataFrame, base: list[str], new: list[str], target: str, keys: list[str],
-                           feature: str, experiment: int, options: ModelOptions, noise: bool = False) -> DataFrame:
-    """Test-set probabilities with and without the candidate features, as long rows."""
-    base_features = base
-    if noise:
-        train, test = with_noise(train, keys, options.seed), with_noise(test, keys, options.seed)
-        base_features = [*base, NOISE]
-    baseline = fit_model(train, base_features, target, keys, options)
-    extended = fit_model(train, [*base, *new], target, keys, options)
-    scored = probability(extended, probability(baseline, test, "p_base"), "p_new")
-    return scored.select(F.lit(feature).alias("feature"), F.lit(experiment).alias("experiment_id"),
-                         F.col(target).alias("y_true"), "p_base", "p_new")
-
-
-def importances(model, features: list[str], spark, label: str, experiment: int) -> DataFrame:
-    """One row per feature of a fitted model; as long as the feature list."""
-    values = model[1].featureImportances.toArray().tolist()
-    return spark.createDataFrame([(label, experiment, f, float(v)) for f, v in zip(features, values)],
-                                 "model string, experiment_id int, feature string, importance double")
+    """A uniform noise column from the draw of the key, the same on every evaluation."""
+    return df.withColumn(NOISE, row_draw(df, keys, seed) / F.lit(float(DRAWS)))
 
 
 # Metrics
@@ -190,11 +123,11 @@ def draw(resample: Column, position: Column, seed: int, n: Column) -> Column:
     return (((x * x) % p) * f % p) % n
 
 
-def bootstrap_interval(results: DataFrame, resamples: int = 10_000, level: float = 0.95, seed: int = 42) -> DataFrame:
+def bootstrap_interval(results: DataFrame, resamples: int = 10_000, level: float = 0.95, seed: int = 42, block: int = 250) -> DataFrame:
     """Percentile interval of the mean gap under resampling of experiments.
 
-    A feature has as many gaps as experiments were run, a configured number; features are spread
-    over tasks and nothing is joined.
+    A feature has as many gaps as experiments were run, a configured number. Its resamples are cut into blocks, one row each, so
+    they spread over tasks; the quantiles are exact.
     """
     gaps = results.groupBy("feature").agg(F.transform(
         F.array_sort(F.collect_list(F.struct("experiment_id", "gap"))), lambda s: s["gap"]).alias("gaps"))
@@ -205,17 +138,13 @@ def bootstrap_interval(results: DataFrame, resamples: int = 10_000, level: float
         total = F.aggregate(positions, F.lit(0.0), lambda acc, i: acc + F.element_at("gaps", (draw(resample.cast("long"), i, seed, n) + 1).cast("int")))
         return total / n
 
-    means = F.array_sort(F.transform(F.sequence(F.lit(1), F.lit(resamples)), mean_of))
-    sorted_means = gaps.select("feature", means.alias("means"))
-
-    def quantile(q: float) -> Column:
-        at = q * (resamples - 1)
-        low, part = int(at), at - int(at)
-        left, right = F.element_at("means", low + 1), F.element_at("means", min(low + 2, resamples))
-        return left + (right - left) * part
-
+    # by a hash of the block: a task has some blocks of each feature
+    blocks = gaps.withColumn("first", F.explode(F.sequence(F.lit(1), F.lit(resamples), F.lit(block)))).repartition("feature", "first")
+    own = F.sequence(F.col("first"), F.least(F.col("first") + (block - 1), F.lit(resamples)))
+    means = blocks.select("feature", F.explode(F.transform(own, mean_of)).alias("mean"))
     tail = (1 - level) / 2
-    return sorted_means.select("feature", quantile(tail).alias("ci_lo"), quantile(1 - tail).alias("ci_hi"))
+    ends = means.groupBy("feature").agg(F.percentile("mean", [tail, 1 - tail]).alias("ends"))
+    return ends.select("feature", F.col("ends")[0].alias("ci_lo"), F.col("ends")[1].alias("ci_hi"))
 
 
 def paired_statistics(results: DataFrame) -> DataFrame:
@@ -232,7 +161,8 @@ def paired_statistics(results: DataFrame) -> DataFrame:
     ties = F.col("__ties")
     sums = ranked.groupBy("feature").agg(
         F.sum(F.when(gap > 0, rank).otherwise(0.0)).alias("w_plus"), F.sum(F.when(gap < 0, rank).otherwise(0.0)).alias("w_minus"),
-        F.count(F.lit(1)).alias("n_nonzero"), F.sum((ties * ties - 1).cast("double")).alias("tie_term"))
+        F.count(F.lit(1)).alias("n_nonzero"), F.sum((ties * ties - 1).cast("double")).alias("tie_term"),
+        F.sort_array(F.collect_list((rank * 2).cast("int"))).alias("doubled_ranks"))
     return t.join(sums, "feature", "left")
 
 
@@ -262,38 +192,43 @@ def t_p_value(t: Column, freedom: Column) -> Column:
     return F.when(t.isNotNull() & (freedom >= 1), F.try_divide(simpson(density, start, end), simpson(density, F.lit(0.0), end)))
 
 
-def rank_p_value(plus: Column, minus: Column, nonzero: Column, n: Column, tie_term: Column, method: str = "auto") -> Column:
-    """Two-sided p-value of the signed-rank statistic.
+def sign_p_value(doubled_ranks: Column, smaller: Column) -> Column:
+    """Exact two-sided p-value of the signed-rank statistic, with or without ties.
 
-    `method`: "exact" counts sign patterns (its distribution knows no ties and zeros; with them it is the normal
-    approximation), "normal" is always the approximation, "auto" is exact for at most 50 pairs.
+    With every rank doubled all sums are whole, so the chance of each sum over all sign patterns follows rank by rank: half of what
+    it was, half of what it was one rank lower. Zeros have no rank. The work grows with the ranks' number times their sum; a
+    feature has as many ranks as experiments were run.
     """
-    if method not in ("auto", "exact", "normal"):
-        raise ValueError(f"unknown method: {method}")
-    smaller = F.least(plus, minus)
-    size = (nonzero * (nonzero + 1) / 2).cast("int") + 1
-    start = F.concat(F.array(F.lit(1.0)), F.array_repeat(F.lit(0.0), size - 1))
+    total = F.aggregate(doubled_ranks, F.lit(0), lambda a, r: a + r)
+    start = F.concat(F.array(F.lit(1.0)), F.array_repeat(F.lit(0.0), total))
+
+    def with_rank(chances: Column, rank: Column) -> Column:
+        raised = F.concat(F.array_repeat(F.lit(0.0), rank), F.slice(chances, F.lit(1), F.size(chances) - rank))
+        return F.zip_with(chances, raised, lambda a, b: (a + b) / 2)
+
+    chances = F.aggregate(doubled_ranks, start, with_rank)
+    below = F.aggregate(F.slice(chances, F.lit(1), (smaller * 2).cast("int") + 1), F.lit(0.0), lambda a, b: a + b)
+    return F.when(F.size(doubled_ranks) > 0, F.least(F.lit(1.0), below * 2.0))
 
-    def with_rank(ways: Column, rank: Column) -> Column:
-        moved = F.concat(F.array_repeat(F.lit(0.0), rank), F.slice(ways, F.lit(1), F.size(ways) - rank))
-        return F.zip_with(ways, moved, lambda a, b: a + b)
 
-    ways = F.aggregate(F.sequence(F.lit(1), nonzero.cast("int")), start, with_rank)
-    below = F.aggregate(F.slice(ways, F.lit(1), smaller.cast("int") + 1), F.lit(0.0), lambda a, b: a + b)
-    exact = F.least(F.lit(1.0), below * 2.0 / F.pow(F.lit(2.0), nonzero))
+def normal_p_value(smaller: Column, nonzero: Column, tie_term: Column) -> Column:
+    """The normal approximation of the same, corrected for ties."""
     spread = F.sqrt((nonzero * (nonzero + 1) * (nonzero * 2 + 1) - tie_term / 2.0) / 24.0)
     z = F.abs(F.try_divide(smaller - nonzero * (nonzero + 1) / 4.0, spread))
-    normal = simpson(lambda x: F.exp(-x * x / 2.0), z, z + 12.0) * (2.0 / math.sqrt(2 * math.pi))
-    is_exact = (nonzero == n) & (tie_term == 0) & {"auto": nonzero <= 50, "exact": F.lit(True), "normal": F.lit(False)}[method]
-    return F.when(nonzero > 0, F.when(is_exact, exact).otherwise(F.least(F.lit(1.0), normal)))
+    return F.when(nonzero > 0, F.least(F.lit(1.0), simpson(lambda x: F.exp(-x * x / 2.0), z, z + 12.0) * (2.0 / math.sqrt(2 * math.pi))))
 
 
-def p_values(results: DataFrame, method: str = "auto") -> DataFrame:
-    """Paired t and signed-rank p-values (see `rank_p_value`), one row per feature; null when all gaps are equal."""
+def p_values(results: DataFrame, method: str = "exact") -> DataFrame:
+    """Paired t and signed-rank p-values, one row per feature; null when all gaps are equal.
+
+    `method` of the rank test: "exact" (`sign_p_value`) or "normal" (`normal_p_value`), whatever the number of pairs.
+    """
+    if method not in ("exact", "normal"):
+        raise ValueError(f"unknown method: {method}")
     rows = paired_statistics(results)
-    c = F.col
-    return rows.select("feature", t_p_value(c("t"), c("n") - 1).alias("p_value_ttest"),
-                       F.when(c("t").isNotNull(), rank_p_value(c("w_plus"), c("w_minus"), c("n_nonzero"), c("n"), c("tie_term"), method)).alias("p_value_wilcoxon"))
+    c, smaller = F.col, F.least("w_plus", "w_minus")
+    ranked = sign_p_value(c("doubled_ranks"), smaller) if method == "exact" else normal_p_value(smaller, c("n_nonzero"), c("tie_term"))
+    return rows.select("feature", t_p_value(c("t"), c("n") - 1).alias("p_value_ttest"), F.when(c("t").isNotNull(), ranked).alias("p_value_wilcoxon"))
 
 
 def experiment_metrics(results: DataFrame, resamples: int = 10_000) -> DataFrame:

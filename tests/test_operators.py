@@ -1,11 +1,12 @@
 import datetime as dt
+import itertools
 import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from sundial.operators import aggregates, columns, joins, quality, sequences, sets
+from sundial.operators import aggregates, columns, joins, quality, ranges, sequences, sets
 from sundial.plans import device_names, devices, lift
 
 
@@ -13,6 +14,17 @@ def frame(spark, rows, schema):
     return spark.createDataFrame(rows, schema)
 
 
+@pytest.fixture
+def many_ranges(spark):
+    """Small tables would come as one range: adaptive execution joins small partitions."""
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    yield
+    for c, value in before.items():
+        spark.conf.set(c, value)
+
+
 def test_overlap_and_novelty(spark):
     df = frame(spark, [(["a", "b"], ["b", "c"]), ([], []), (["a"], [])], "x_l12w array<string>, x_l24w_to_l12w array<string>")
     got = df.select(*sets.set_ratio_columns(df.columns)).collect()
@@ -60,13 +72,70 @@ def test_hot_key_join_equals_plain_join(spark):
         assert sorted(map(tuple, got.select("k", "i", "v").collect()), key=str) == sorted(map(tuple, left.join(right, "k", how).collect()), key=str)
 
 
-def test_as_of_takes_newest_earlier_row_across_months(spark):
+def test_as_of_takes_newest_earlier_row_across_months(spark, many_ranges):
     right = frame(spark, [("a", dt.date(2024, 1, 10), 1), ("a", dt.date(2024, 3, 5), 2), ("b", dt.date(2024, 5, 1), 9)], "k string, t date, v int")
     left = frame(spark, [("a", dt.date(2024, 1, 9)), ("a", dt.date(2024, 1, 10)), ("a", dt.date(2024, 2, 28)), ("a", dt.date(2024, 3, 31)), ("b", dt.date(2024, 4, 30))], "k string, at date")
     got = {(r.k, r["at"]): r.v for r in joins.as_of(left, right, ["k"], "at", "t", ["v"]).collect()}
     assert [got[k] for k in sorted(got)] == [None, 1, 1, 2, None]
 
 
+def test_as_of_with_one_hot_key_on_one_day(spark, many_ranges):
+    """One key has nine tenths of the rows, all on one day; keys without values, null keys and times, and equal times."""
+    random.seed(4)
+    moment = lambda: dt.datetime(2024, 1, 3, random.randrange(24), random.randrange(60))
+    right = [("hot" if random.random() < 0.9 else random.choice("ab"), moment(), random.randrange(99)) for _ in range(700)] + [(None, moment(), 1), ("a", None, 2)]
+    left = [("hot" if random.random() < 0.9 else random.choice("abc"), moment(), i) for i in range(900)] + [(None, moment(), 900), ("a", None, 901)]
+    got = joins.as_of(frame(spark, left, "k string, at timestamp, i int").repartition(5), frame(spark, right, "k string, t timestamp, v int").repartition(3), ["k"], "at", "t", ["t", "v"])
+    assert got.columns == ["k", "at", "i", "t", "v"] and got.count() == len(left)
+    for r in got.collect():
+        earlier = [(t, v) for k, t, v in right if k == r.k and t and r["at"] and t <= r["at"]] if r.k else []
+        assert (r.t, r.v) == (max(earlier) if earlier else (None, None))
+
+
+def test_ranges_cut_a_hot_key_evenly(spark, many_ranges):
+    df = frame(spark, [("hot" if i % 10 else "cold", i) for i in range(20_000)], "k string, o int")
+    parts = [r["count"] for r in ranges.in_ranges(df, ["k", "o"]).groupBy("k", ranges.RANGE).count().collect()]
+    assert len(parts) >= 9 and max(parts) < 2 * 20_000 / 9
+
+
+def test_carried_ranks_and_rotation(spark, many_ranges):
+    random.seed(8)
+    rows = [(random.choice("ab"), i, random.choice([None, None, i])) for i in range(400)]
+    random.shuffle(rows)
+    df = frame(spark, rows, "k string, o int, v int").repartition(6)
+    for r in ranges.carried(df, ["k"], ["o"], "v").collect():
+        known = [(o, v) for k, o, v in rows if k == r.k and o <= r.o and v is not None]
+        assert r.v == (max(known)[1] if known else None)
+    for r in ranges.running_totals(df.fillna(0), ["k"], "o", {"v": "before"}).collect():
+        assert r.before == sum(v or 0 for k, o, v in rows if k == r.k and o < r.o)
+    assert all(r["rank"] == r.o for r in ranges.ranks(df, "o").collect())
+    turned = ranges.rotated(df, "o", ["o", "k"], 7).collect()
+    assert len(turned) == 400 and all(r.partner.o == (r.o + 7) % 400 for r in turned)
+    assert ranges.rotated(df.limit(0), "o", ["o"], 7).collect() == []
+
+
+def test_validity_blocks_hold_each_day_once(spark):
+    random.seed(9)
+    first = dt.date(2020, 2, 1)
+    when = lambda: None if random.random() < 0.1 else first + dt.timedelta(days=random.randint(-40, 240))
+    spans = [(i, when(), when()) for i in range(300)]
+    days = [first + dt.timedelta(days=d) for d in {0, 1, 2, 63, 64, 127, 128, 200, *[random.randint(0, 200) for _ in range(40)]}]
+    table = [(d, j) for d in days for j in range(1 + d.day % 2)]
+    got = joins.valid_on_days(frame(spark, spans, "i int, date_start date, date_end date"), frame(spark, table, "date date, j int"))
+    want = sorted((i, d, j) for i, s, e in spans for d, j in table if (s is None or s <= d) and (e is None or d <= e))
+    assert sorted((r.i, r.date, r.j) for r in got.collect()) == want
+    assert joins.valid_on_days(frame(spark, spans, "i int, date_start date, date_end date"), frame(spark, [], "date date")).count() == 0
+
+
+def test_validity_join_makes_only_rows_of_the_result(spark):
+    """A hundred thousand intervals that start in one month against a year of days: the join itself makes what is returned."""
+    spans = spark.range(100_000).selectExpr("id", "date_add(DATE'2024-03-01', CAST(id % 31 AS INT)) AS date_start", "date_add(DATE'2024-03-01', CAST(id % 31 + id % 5 AS INT)) AS date_end")
+    days = spark.sql("SELECT explode(sequence(DATE'2024-01-01', DATE'2024-12-31')) AS date")
+    joined = joins.valid_on_days(spans, days)
+    assert joined.count() == 20_000 * (1 + 2 + 3 + 4 + 5)
+    assert "__month" not in joined._jdf.queryExecution().toString()
+
+
 def test_point_in_time_policies(spark):
     label = frame(spark, [("a", dt.date(2024, 1, 24), "p", 1)], "phone_number string, disburse_date date, product string, label_value int")  # a Wednesday
     features = frame(spark, [("a", dt.date(2024, 1, d), d) for d in (7, 14, 21)], "phone_number string, date date, x int")
@@ -142,8 +211,8 @@ def test_device_names(spark, brand, model, name):
 def test_p_values(spark):
     rows = frame(spark, [(2.0, 9, 3.0, 33.0, 8, 8, 0.0)], "t double, f int, wp double, wm double, nz int, n int, ties double")
     c = F.col
-    got = rows.select(lift.t_p_value(c("t"), c("f")).alias("t"), lift.rank_p_value(c("wp"), c("wm"), c("nz"), c("n"), c("ties")).alias("w"),
-                      lift.rank_p_value(c("wp"), c("wm"), c("nz"), c("n") + 1, c("ties")).alias("z")).first()
+    got = rows.select(lift.t_p_value(c("t"), c("f")).alias("t"), lift.sign_p_value(F.expr("transform(sequence(1, nz), i -> 2 * i)"), c("wp")).alias("w"),
+                      lift.normal_p_value(c("wp"), c("nz"), c("ties")).alias("z")).first()
     # closed form for nine degrees of freedom
     u = math.atan(2 / 3)
     inside = math.cos(u) * (1 + 2 / 3 * math.cos(u) ** 2 + 8 / 15 * math.cos(u) ** 4 + 48 / 105 * math.cos(u) ** 6)
@@ -152,6 +221,22 @@ def test_p_values(spark):
     assert got.z == pytest.approx(math.erfc(15 / math.sqrt(51) / math.sqrt(2)), abs=1e-6)
 
 
+@pytest.mark.parametrize("gaps", [[1, 1, 1, -1, 2, 2, -3, 4], [1, -1, 1, -1, 1, -1, 1, 1], [5, 5, 5, 5], [0, 0, 3, -2, 2], [7], [-1, -2, -3, -4, -5, -6, -7, -7], list(range(1, 61))])
+def test_rank_test_equals_all_sign_patterns(spark, gaps):
+    results = frame(spark, [("f", i, 0.5, 0.5, float(g)) for i, g in enumerate(gaps)], "feature string, experiment_id int, auc_base double, auc_new double, gap double")
+    got = lift.p_values(results).first().p_value_wilcoxon
+    sizes = sorted(abs(g) for g in gaps if g)
+    rank = {s: sizes.index(s) + (sizes.count(s) + 1) / 2 for s in sizes}
+    below = min(sum(rank[abs(g)] for g in gaps if g > 0), sum(rank[abs(g)] for g in gaps if g < 0))
+    if len(set(gaps)) == 1:
+        assert got is None
+    elif len(sizes) > 20:
+        assert got == pytest.approx(2.0 ** (1 - len(sizes)))
+    else:
+        sums = [sum(r for r, up in zip((rank[s] for s in sizes), signs) if up) for signs in itertools.product((0, 1), repeat=len(sizes))]
+        assert got == pytest.approx(min(1.0, 2 * sum(s <= below for s in sums) / len(sums)))
+
+
 def test_bootstrap_interval_has_the_expected_width(spark):
     random.seed(11)
     gaps = [random.gauss(0.01, 0.02) for _ in range(30)]
