@@ -17,6 +17,7 @@ from sundial.functions.texts import category_or_unmapped, slug
 from sundial.operators import aggregates as agg
 from sundial.operators import columns, joins, ordering, quality, sequences, sets, windows
 from sundial.operators.aggregates import Bucket
+from sundial.operators.distincts import Part, aggregated, nested_levels
 from sundial.operators.windows import LookBack, Measure, Offset, last, last_and_previous, parse_window, windowed_aggregate
 from sundial.plans import devices, markets, provinces, training
 from sundial.sources import scans
@@ -411,8 +412,8 @@ def a15(f):
 
 @query("A16_conditional_distinct", "SELECT phone_number, count(DISTINCT service_name) FILTER (transaction_type = 'REG') AS reg, count(DISTINCT date) FILTER (charge_amount > 50000) AS days FROM vas_b GROUP BY 1", "vas_b")
 def a16(f):
-    return f.vas_b().groupBy(PHONE).agg(F.count_distinct(F.when(F.col("transaction_type") == "REG", F.col("service_name"))).alias("reg"),
-                                        F.count_distinct(F.when(F.col("charge_amount") > 50000, F.col("date"))).alias("days"))
+    return aggregated(f.vas_b(), [PHONE], [Part("reg", "count_distinct", F.col("service_name"), F.col("transaction_type") == "REG"),
+                                           Part("days", "count_distinct", F.col("date"), F.col("charge_amount") > 50000)])
 
 
 @query("A17_two_level", "SELECT phone_number, avg(b) AS mean, max(b) AS top, count(*) AS days FROM (SELECT phone_number, date, sum(balance) AS b FROM balance_b GROUP BY 1, 2) GROUP BY 1", "balance_b", "mean|top", digits=3)
@@ -436,8 +437,7 @@ def a19(f):
 
 @query("A20_two_levels", "SELECT * FROM (SELECT cell_id, ref_province_name, count(DISTINCT date) AS days_cell_prov FROM seed_daily GROUP BY 1, 2) JOIN (SELECT cell_id, count(DISTINCT date) AS days_cell FROM seed_daily GROUP BY 1) USING (cell_id)", "seed_daily", texts="ref_province_name")
 def a20(f):
-    days = f.seed_daily().select("cell_id", "ref_province_name", "date").distinct()
-    return agg.two_levels(days, "cell_id", "ref_province_name", [F.count_distinct("date").alias("days")], {"days": ("days_cell_prov", "days_cell")})
+    return nested_levels(f.seed_daily(), "cell_id", "ref_province_name", {}, {"date": ("days_cell_prov", "days_cell")})
 
 
 @query("A21_stored_levels", "WITH m AS (SELECT strftime(date, '%Y-%m') AS month, * FROM seed_daily) SELECT * FROM (SELECT cell_id, ref_province_name, sum(d) AS a FROM (SELECT month, cell_id, ref_province_name, count(DISTINCT date) AS d FROM m GROUP BY 1, 2, 3) GROUP BY 1, 2) "

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sundial.checks.fixtures import EVENTS_SNAPSHOT
 from sundial.checks.registry import query
 from sundial.functions.texts import slug
+from sundial.session import cut_lineage
 from sundial.plans import provinces, wallets
 
 SNAP = f"DATE '{EVENTS_SNAPSHOT}'"
@@ -107,6 +108,14 @@ def yearly_days(f):
 @query("FP12_yearly_report", f"SELECT * FROM ({YEAR_SUMS}) JOIN ({YEAR_PHONES}) USING (cell_id, ref_province_name) JOIN ({YEAR_CELLS}) USING (cell_id, ref_province_name) JOIN ({YEAR_DAYS}) USING (cell_id, ref_province_name)",
        "seed_daily", texts=TEXTS)
 def report(f):
+    seeds = cut_lineage(with_month(f))  # read by four monthly tables
+    return provinces.yearly_report_of(provinces.monthly_sums(seeds), provinces.monthly_members(seeds, "phone_number"), provinces.monthly_members(seeds, "ref_cell_id"),
+                                      provinces.monthly_days(seeds), FIRST, UNTIL)
+
+
+@query("FP12_yearly_report_of_tables", f"SELECT * FROM ({YEAR_SUMS}) JOIN ({YEAR_PHONES}) USING (cell_id, ref_province_name) JOIN ({YEAR_CELLS}) USING (cell_id, ref_province_name) JOIN ({YEAR_DAYS}) USING (cell_id, ref_province_name)",
+       "seed_daily", texts=TEXTS)
+def report_of_tables(f):
     return provinces.yearly_report(yearly_sums(f), yearly_phones(f), yearly_cells(f), yearly_days(f))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sundial.functions.dates import DateLike, add_months, as_date, day
+from sundial.operators.distincts import MERGED, Part, aggregated
 
 UNITS = {"d": "day", "w": "week", "m": "month", "y": "year"}
 _PHRASE = re.compile(r"last\s+(\d+)\s+(day|week|month|year)s?", re.I)
@@ -125,10 +126,6 @@ AGGREGATES = {
     "stddev": F.stddev, "collect_set": F.collect_set, "count_distinct": F.count_distinct,
     "skewness": F.skewness, "kurtosis": F.kurtosis,
 }
-# How a partial result of a finer grain is combined; avg is carried as sum and count.
-_RECOMBINE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
-
-
 def _widest(windows: list[LookBack], date: Column, snapshot: DateLike) -> Column:
     """One predicate on the raw column that covers every window, so the scan can prune."""
     until = date <= day(max(w.end.before(snapshot) if w.end else as_date(snapshot) for w in windows))
@@ -151,17 +148,15 @@ def windowed_aggregate(
     Filters inside aggregates do not reach the scan, so the widest window is also applied as a
     row filter. Set `keep_empty` to keep groups whose rows all lie outside every window.
 
-    A distinct count over one column is done in two levels: first one row per key and value with
-    a flag per window, then a count of flags. That keeps map-side combining and avoids copying
-    every input row once per window; a hot key is spread over its values in the first level.
+    Distinct counts beside sums, counts, minima, maxima, averages and deviations are taken in two levels (see `aggregated`):
+    one row per key and value with a flag per window, then a count of flags. No input row is copied per window, and a hot key is
+    spread over its values in the first level.
     """
     when = {w.name: w.contains(F.col(date), snapshot) for w in windows}
     source = df if keep_empty else df.filter(_widest(windows, F.col(date), snapshot))
-    distinct = [m for m in measures if m.func == "count_distinct"]
-    rest = [m for m in measures if m.func != "count_distinct"]
-    columns = {str(m.value) for m in distinct}
-    if len(columns) == 1 and all(m.func in _RECOMBINE for m in rest):
-        return _two_level(source, keys, distinct, rest, when)
+    funcs = {m.func for m in measures}
+    if "count_distinct" in funcs and funcs <= {"count_distinct", *MERGED}:
+        return aggregated(source, keys, [Part(f"{m.alias}_{name}", m.func, m.value, test) for name, test in when.items() for m in measures])
     aggregates = [
         AGGREGATES[m.func](F.when(test, m.value)).alias(f"{m.alias}_{name}")
         for name, test in when.items() for m in measures
@@ -169,25 +164,6 @@ def windowed_aggregate(
     return source.groupBy(*keys).agg(*aggregates)
 
 
-def _two_level(df: DataFrame, keys: list[str], distinct: list[Measure], rest: list[Measure],
-               when: dict[str, Column]) -> DataFrame:
-    entity = "__entity"
-    first = [F.max(F.when(test, True)).alias(f"__seen_{name}") for name, test in when.items()]
-    first += [
-        AGGREGATES[m.func](F.when(test, m.value)).alias(f"{m.alias}_{name}")
-        for name, test in when.items() for m in rest
-    ]
-    per_value = df.withColumn(entity, distinct[0].value).groupBy(*keys, entity).agg(*first)
-    seen = {name: F.count(F.when(F.col(f"__seen_{name}"), F.col(entity))) for name in when}
-    second = []
-    for name in when:
-        for m in distinct + rest:
-            column = f"{m.alias}_{name}"
-            combined = seen[name] if m in distinct else _RECOMBINE[m.func](column)
-            second.append(combined.alias(column))
-    return per_value.groupBy(*keys).agg(*second)
-
-
 def outer_bound(windows: list[LookBack], snapshot: DateLike) -> dt.date:
     """First day (exclusive) any of the windows needs."""
     return reduce(min, (w.start.before(snapshot) for w in windows if w.start))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sundial.functions.dates import DateLike, add_months, as_date, is_weekend
 from sundial.operators.aggregates import count_where, sum_where
 from sundial.operators.columns import fill_missing
+from sundial.operators.distincts import Part, aggregated
 from sundial.operators.joins import current_activation, lookup, outer_on
 from sundial.sources.scans import after_until, between, last_weeks
 
@@ -58,25 +59,22 @@ def monthly_features(transfers: DataFrame, hours: DataFrame, snapshot: DateLike,
     groups |= {s.lower(): F.col("service_name") == s for s in SERVICES}
     groups |= {f"{name}_service": amount <= limit if name.startswith("le") else amount >= limit for name, limit in AMOUNT_LIMITS.items()}
     gift = groups["2friend"]
-    sender = rows.groupBy(PHONE).agg(
-        F.count(F.lit(1)).alias(f"vasc_txn_num_{w}"), F.sum(amount).alias(f"vasc_amt_total_{w}"),
-        *[count_where(test).alias(f"vasc_txn_{name}_num_{w}") for name, test in groups.items()],
-        *[sum_where(test, amount).alias(f"vasc_amt_{name}_total_{w}") for name, test in groups.items()],
-        F.count_distinct("service_name").alias(f"vasc_service_num_{w}"),
-        F.count_distinct(F.when(gift, F.col(RECEIVER))).alias(f"vasc_receiver2f_num_{w}"),
-        F.count_distinct("date").alias(f"vasc_active_day_num_{w}"),
-        *[F.count_distinct(F.when(groups[s.lower()], F.col("date"))).alias(f"vasc_{s.lower()}_active_day_num_{w}") for s in SERVICES])
-    receiver = rows.filter(gift).groupBy(RECEIVER).agg(
-        F.count(F.lit(1)).alias(f"vasc_txn_receivce2f_num_{w}"), F.count_distinct(PHONE).alias(f"vasc_sender2f_num_{w}"),
-        F.sum(amount).alias(f"vasc_amt_receiver2f_total_{w}"),
-        count_where(daytime).alias(f"vasc_txn_receivce2f_daytime_num_{w}"),
-        F.count_distinct(F.when(daytime, F.col(PHONE))).alias(f"vasc_receivcer2f_daytime_{w}"),
-        sum_where(daytime, amount).alias(f"vasc_amt_receivce2f_daytime_total_{w}"),
-        count_where(weekend).alias(f"vasc_txn_receivce2f_weekend_num_{w}"),
-        F.count_distinct(F.when(weekend, F.col(PHONE))).alias(f"vasc_receivcer2f_weekend_num_{w}"),
-        sum_where(weekend, amount).alias(f"vasc_amt_receivce2f_weekend_total_{w}"),
-        F.count_distinct("date").alias(f"vasc_receivce2f_active_day_num_{w}"))
-    both = outer_on(sender, receiver, PHONE, RECEIVER)
+    service, date, receiver, phone = F.col("service_name"), F.col("date"), F.col(RECEIVER), F.col(PHONE)
+    sender = aggregated(rows, [PHONE], [
+        Part(f"vasc_txn_num_{w}", "count"), Part(f"vasc_amt_total_{w}", "sum", amount),
+        *[Part(f"vasc_txn_{name}_num_{w}", "count", None, test) for name, test in groups.items()],
+        *[Part(f"vasc_amt_{name}_total_{w}", "sum", amount, test) for name, test in groups.items()],
+        Part(f"vasc_service_num_{w}", "count_distinct", service), Part(f"vasc_receiver2f_num_{w}", "count_distinct", receiver, gift),
+        Part(f"vasc_active_day_num_{w}", "count_distinct", date),
+        *[Part(f"vasc_{s.lower()}_active_day_num_{w}", "count_distinct", date, groups[s.lower()]) for s in SERVICES]])
+    received = aggregated(rows.filter(gift), [RECEIVER], [
+        Part(f"vasc_txn_receivce2f_num_{w}", "count"), Part(f"vasc_sender2f_num_{w}", "count_distinct", phone),
+        Part(f"vasc_amt_receiver2f_total_{w}", "sum", amount),
+        Part(f"vasc_txn_receivce2f_daytime_num_{w}", "count", None, daytime), Part(f"vasc_receivcer2f_daytime_{w}", "count_distinct", phone, daytime),
+        Part(f"vasc_amt_receivce2f_daytime_total_{w}", "sum", amount, daytime),
+        Part(f"vasc_txn_receivce2f_weekend_num_{w}", "count", None, weekend), Part(f"vasc_receivcer2f_weekend_num_{w}", "count_distinct", phone, weekend),
+        Part(f"vasc_amt_receivce2f_weekend_total_{w}", "sum", amount, weekend), Part(f"vasc_receivce2f_active_day_num_{w}", "count_distinct", date)])
+    both = outer_on(sender, received, PHONE, RECEIVER)
     opposite = {"nighttime": "daytime", "weekday": "weekend"}
     return both.withColumns({
         **{f"vasc_txn_{new}_num_{w}": F.col(f"vasc_txn_num_{w}") - F.col(f"vasc_txn_{old}_num_{w}") for new, old in opposite.items()},
