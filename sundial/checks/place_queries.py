@@ -31,6 +31,13 @@ def seed_day(f):
     return provinces.seed_day(f.cell_daily(), f.cell_map(), EVENTS_SNAPSHOT)
 
 
+@query("FP10_sums_of_parts", f"SELECT cell_id, ref_province_name, sum(sum_logs_count) AS sum_logs_count, sum(ref_sum_logs_count) AS ref_sum_logs_count, count(*) AS pairs, count(DISTINCT phone_number) AS count_pn FROM ({SEED_SQL}) GROUP BY 1, 2",
+       "cell_daily cell_map", texts="ref_province_name")
+def sums_of_parts(f):
+    """The sums of a day without its pairs of unmapped and reference cells."""
+    return provinces.sums_of_parts(*provinces.seed_parts(f.cell_daily(), f.cell_map(), EVENTS_SNAPSHOT), ["phone_number"])
+
+
 MONTH = "strftime(date_trunc('month', date) + INTERVAL 1 MONTH, '%Y-%m')"
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sundial.checks.fixtures import EVENTS_SNAPSHOT, ORDERS_SNAPSHOT
 from sundial.checks.registry import query
+from sundial.operators import joins
 from sundial.operators.columns import sorted_columns
 from sundial.sources import scans, sinks
 from sundial.streaming import increments
@@ -74,6 +75,16 @@ def s11(f):
     return scans.read_table(f.spark, f"{f.folder}/lineitem.parquet", skip_corrupt=True).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("S11_skipped_files", "SELECT o_orderstatus, count(*) AS n, 0 AS skipped FROM orders GROUP BY 1", texts="o_orderstatus")
+def s11b(f):
+    """A sound folder: all rows are there and no file is named."""
+    path = scratch(f)
+    sinks.write_files(f.orders, path)
+    skipped = scans.skipped_files(f.spark, path).agg(F.count(F.lit(1)).alias("skipped"))
+    counts = scans.read_table(f.spark, path, skip_corrupt=True).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(F.broadcast(skipped))  # one row
+
+
 @query("S12_calendar", "SELECT ticker, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM series GROUP BY 1", "series", texts="ticker|date", whole=False)
 def s12(f):
     return scans.calendar(f.series(), keys=["ticker"])
@@ -84,18 +95,25 @@ def s12b(f):
     return scans.calendar(f.series(), keys=["ticker"], sundays=True, name="snap")
 
 
-WEEK = f"SELECT phone_number, imei, tac, device_num_day_l1w, date FROM imei_weekly WHERE date > {SNAP} - 21 AND date <= {SNAP}"
+EVERY = "SELECT phone_number, imei, tac, device_num_day_l1w, date FROM imei_weekly"
+
 
+def both(name: str, sql: str, **options):
+    """Registered under its name and, as in earlier versions, under its name with _whole: the same query."""
 
-def weeks(f):
-    return scans.after_until(f.imei_weekly(), ORDERS_SNAPSHOT - dt.timedelta(weeks=3), ORDERS_SNAPSHOT)
+    def add(build):
+        for each in (name, f"{name}_whole"):
+            query(each, sql, "imei_weekly", **options)(build)
+        return build
 
+    return add
 
-@query("K1_overwrite_one_partition", WEEK.replace("device_num_day_l1w,", f"device_num_day_l1w + CASE WHEN date = {SNAP} THEN 10 ELSE 0 END AS device_num_day_l1w,"), "imei_weekly", texts="date")
+
+@both("K1_overwrite_one_partition", EVERY.replace("device_num_day_l1w,", f"device_num_day_l1w + CASE WHEN date = {SNAP} THEN 10 ELSE 0 END AS device_num_day_l1w,"), texts="date")
 def k1(f):
     path = scratch(f)
-    sinks.write_partitions(weeks(f), path)
-    newest = scans.on_day(weeks(f), ORDERS_SNAPSHOT).withColumn("device_num_day_l1w", F.col("device_num_day_l1w") + 10).drop("date")
+    sinks.write_partitions(f.imei_weekly(), path, cluster=True)
+    newest = scans.on_day(f.imei_weekly(), ORDERS_SNAPSHOT).withColumn("device_num_day_l1w", F.col("device_num_day_l1w") + 10).drop("date")
     sinks.write_snapshot(newest, path, ORDERS_SNAPSHOT)
     return f.spark.read.parquet(path).withColumn("date", F.col("date").cast("date"))
 
@@ -107,63 +125,49 @@ def k2(f):
     return f.spark.read.parquet(path).groupBy("mother_system").agg(F.count(F.lit(1)).alias("n"), F.max("mobile_id").alias("top"))
 
 
-@query("K3_incremental_update", WEEK, "imei_weekly", texts="date")
+@both("K3_incremental_update", EVERY, texts="date")
 def k3(f):
+    """All weeks but the newest, then everything: the second run adds what is missing, a third one nothing."""
     path = scratch(f)
-    increments.append_new_days(scans.on_day(weeks(f), ORDERS_SNAPSHOT), path)
-    increments.update_features(f.imei_weekly(), path, lambda raw: scans.after_until(raw, ORDERS_SNAPSHOT - dt.timedelta(weeks=3), ORDERS_SNAPSHOT))
-    increments.append_new_days(weeks(f), path)
+    whole = f.imei_weekly().repartition("date")
+    increments.append_new_days(whole.where(F.col("date") <= F.lit(ORDERS_SNAPSHOT)), path)
+    increments.update_features(whole, path, lambda raw: raw)
+    increments.append_new_days(whole, path)
     return f.spark.read.parquet(path).withColumn("date", F.col("date").cast("date"))
 
 
-@query("K4_bounded_sorted_files", WEEK, "imei_weekly", texts="date")
-def k4(f):
-    path = scratch(f)
-    sinks.write_files(weeks(f), path, 2, ["phone_number", "imei"])
-    return f.spark.read.parquet(path)
+ROLLING = ("SELECT s.date, w.phone_number, sum(w.device_num_day_l1w) AS days_l4w, count(DISTINCT w.imei) AS imeis_l4w FROM (SELECT DISTINCT date FROM imei_weekly) s "
+           "JOIN imei_weekly w ON w.date > s.date - 28 AND w.date <= s.date GROUP BY 1, 2")
 
 
-@query("K5_compressed_files", WEEK, "imei_weekly", texts="date")
-def k5(f):
-    path = scratch(f)
-    sinks.write_files(weeks(f), path, 1, compression="snappy")
-    return f.spark.read.parquet(path)
-
-
-#: The same four writers over the whole table.
-EVERY = "SELECT phone_number, imei, tac, device_num_day_l1w, date FROM imei_weekly"
-
-
-@query("K1_overwrite_one_partition_whole", EVERY.replace("device_num_day_l1w,", f"device_num_day_l1w + CASE WHEN date = {SNAP} THEN 10 ELSE 0 END AS device_num_day_l1w,"), "imei_weekly", texts="date")
-def k1_whole(f):
-    path = scratch(f)
+@query("K3_update_snapshots", ROLLING, "imei_weekly", texts="date")
+def k3_snapshots(f):
+    """Four-week features of every Sunday: half of the snapshots first, then the others from their own look-back only."""
+    path, features = scratch(f), scratch(f)
     sinks.write_partitions(f.imei_weekly(), path, cluster=True)
-    newest = scans.on_day(f.imei_weekly(), ORDERS_SNAPSHOT).withColumn("device_num_day_l1w", F.col("device_num_day_l1w") + 10).drop("date")
-    sinks.write_snapshot(newest, path, ORDERS_SNAPSHOT)
-    return f.spark.read.parquet(path).withColumn("date", F.col("date").cast("date"))
+    source = f.spark.read.parquet(path)
+    sundays = sorted(r.date for r in source.select("date").distinct().collect())
 
+    def build(rows, snapshots):
+        spread = joins.last_days_per_sunday(rows, 4, snap="snap").filter(F.col("snap").isin(snapshots))
+        return spread.groupBy(F.col("snap").alias("date"), "phone_number").agg(F.sum("device_num_day_l1w").alias("days_l4w"), F.count_distinct("imei").alias("imeis_l4w"))
 
-@query("K3_incremental_update_whole", EVERY, "imei_weekly", texts="date")
-def k3_whole(f):
-    path = scratch(f)
-    whole = f.imei_weekly().repartition("date")
-    increments.append_new_days(whole.where(F.col("date") <= F.lit(ORDERS_SNAPSHOT)), path)
-    increments.update_features(whole, path, lambda raw: raw)
-    increments.append_new_days(whole, path)
-    return f.spark.read.parquet(path).withColumn("date", F.col("date").cast("date"))
+    for part in (sundays[:len(sundays) // 2], sundays):
+        increments.update_snapshots(source, features, part, 27, build)
+    return f.spark.read.parquet(features)
 
 
-@query("K4_bounded_sorted_files_whole", EVERY, "imei_weekly", texts="date")
-def k4_whole(f):
+@both("K4_bounded_sorted_files", EVERY, texts="date")
+def k4(f):
     path = scratch(f)
     sinks.write_files(f.imei_weekly(), path, 2, ["phone_number", "imei"])
     return f.spark.read.parquet(path)
 
 
-@query("K5_compressed_files_whole", EVERY, "imei_weekly", texts="date")
-def k5_whole(f):
+@both("K5_compressed_files", EVERY, texts="date")
+def k5(f):
     path = scratch(f)
-    sinks.write_files(f.imei_weekly(), path, 1, compression="snappy")
+    sinks.write_files(f.imei_weekly(), path, compression="snappy")
     return f.spark.read.parquet(path)
 
 

@@ -26,6 +26,15 @@ def newest_cells(cell_map: DataFrame) -> DataFrame:
     return newest_row(cell_map.select(*columns), [CELL], "date").withColumnRenamed("date", "cell_upd_dt")
 
 
+def _placed(cell_daily: DataFrame, cell_map: DataFrame, snapshot: DateLike, days: int, check: bool = False) -> DataFrame:
+    """Day totals per phone and cell with the cell's province, kept: both sides read them."""
+    window = between(cell_daily, as_date(snapshot) - dt.timedelta(days=days - 1), snapshot).filter(f"{PHONE} IS NOT NULL")
+    if check:
+        window = require_days(window, days, retry=True)
+    totals = window.groupBy(PHONE, CELL, "date").agg(F.sum("count").alias("count"))
+    return cut_lineage(lookup(totals, newest_cells(cell_map).select(CELL, "province_name"), CELL))
+
+
 def seed_day(cell_daily: DataFrame, cell_map: DataFrame, snapshot: DateLike, days: int = 3,
              factor: float = DOMINANCE, check: bool = False) -> DataFrame:
     """The day's sightings of unmapped cells by subscribers with one stable province, with that
@@ -34,19 +43,36 @@ def seed_day(cell_daily: DataFrame, cell_map: DataFrame, snapshot: DateLike, day
     A cell's province depends on the cell only, so the day's unmapped sightings come straight from
     the day totals; nothing has to be joined back to the raw rows.
     """
-    window = between(cell_daily, as_date(snapshot) - dt.timedelta(days=days - 1), snapshot).filter(f"{PHONE} IS NOT NULL")
-    if check:
-        window = require_days(window, days, retry=True)
-    totals = window.groupBy(PHONE, CELL, "date").agg(F.sum("count").alias("count"))
-    placed = cut_lineage(lookup(totals, newest_cells(cell_map).select(CELL, "province_name"), CELL))
+    placed = _placed(cell_daily, cell_map, snapshot, days, check)
+    unmapped, references = _parts(placed, snapshot, factor)
+    return unmapped.join(references, PHONE)
+
+
+def seed_parts(cell_daily: DataFrame, cell_map: DataFrame, snapshot: DateLike, days: int = 3, factor: float = DOMINANCE) -> tuple[DataFrame, DataFrame]:
+    """The two sides of `seed_day` without their pairs: unmapped sightings, and reference sightings of the stable province."""
+    return _parts(_placed(cell_daily, cell_map, snapshot, days), snapshot, factor)
+
+
+def _parts(placed: DataFrame, snapshot: DateLike, factor: float) -> tuple[DataFrame, DataFrame]:
     today = on_day(placed, snapshot).select(PHONE, CELL, "province_name", F.col("count").alias("sum_logs_count"))
     weights = placed.filter("province_name IS NOT NULL").groupBy(PHONE, "province_name").agg(F.sum("count").alias("sum_logs_count_3d_prov"))
     stable = dominant_value(weights, PHONE, "province_name", "sum_logs_count_3d_prov", factor)
     references = stable.join(today, [PHONE, "province_name"]).select(
         PHONE, F.col("province_name").alias(PROVINCE), F.col(CELL).alias("ref_cell_id"),
         F.col("sum_logs_count").alias("ref_sum_logs_count"), F.col("sum_logs_count_3d_prov").alias("ref_sum_logs_count_3d_prov"))
-    unmapped = today.filter("province_name IS NULL").drop("province_name")
-    return unmapped.join(references, PHONE)
+    return today.filter("province_name IS NULL").drop("province_name"), references
+
+
+def sums_of_parts(unmapped: DataFrame, references: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums and phones per cell and province over all pairs of a phone's two sides, without building a pair.
+
+    `keys` are shared by both sides (the phone, and the day where there are several); a key has one province. Every unmapped
+    row meets all references of its key, so it counts as often as there are such, and brings their total once.
+    """
+    totals = references.groupBy(*keys, PROVINCE).agg(F.count(F.lit(1)).alias("__n"), F.sum("ref_sum_logs_count").alias("__total"))
+    return unmapped.join(totals, keys).groupBy(CELL, PROVINCE).agg(
+        F.sum(F.col("sum_logs_count") * F.col("__n")).alias("sum_logs_count"), F.sum("__total").alias("ref_sum_logs_count"), F.sum("__n").alias("pairs"),
+        F.count_distinct(PHONE).alias("count_pn"))
 
 
 def run_month(date: Column) -> Column:

@@ -21,6 +21,22 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", skip_corrup
     return df.select(*columns) if columns else df
 
 
+def skipped_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Files of a folder that give no row when corrupt ones are skipped: column `file`, the path without its scheme.
+
+    Every column of every row is read, so a file that only breaks at a late column is found too; a sound file without rows is also
+    listed, an empty one is not. Names starting with _ or . are no data.
+    """
+    rows = read_table(spark, path, fmt, skip_corrupt=True)
+    plain = lambda c: F.url_decode(F.regexp_replace(F.regexp_replace(c, r"\+", "%2B"), "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/"))
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    read = rows.select(plain(F.col("_metadata.file_path")).alias("file"), whole.alias("h")).groupBy("file").agg(F.bit_xor("h").alias("h"))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.col("path"))
+    listed = listed.filter(~F.element_at(F.split("path", "/"), -1).rlike("^[_.]")).select(
+        F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/").alias("file"))
+    return listed.join(read.select("file"), "file", "left_anti")
+
+
 def after_until(df: DataFrame, start: DateLike, end: DateLike, date: str = "date") -> DataFrame:
     """start < date <= end"""
     return df.filter((F.col(date) > day(start)) & (F.col(date) <= day(end)))

@@ -27,10 +27,15 @@ def write_snapshot(df: DataFrame, path: str, snapshot: DateLike, **options) -> N
     write_partitions(df.withColumn("date", day(snapshot)), path, "date", **options)
 
 
-def write_files(df: DataFrame, path: str, files: int, sort: list[str] | None = None,
+def write_files(df: DataFrame, path: str, files: int | None = None, sort: list[str] | None = None,
                 compression: str = "snappy", fmt: str = "parquet") -> None:
-    """A bounded number of files, ordered when sort keys are given."""
-    out = sorted_for_write(df, sort, files) if sort else df.coalesce(files)
+    """A bounded number of files, ordered when sort keys are given; without a bound one per task.
+
+    A bound is met by a shuffle, so what comes before it keeps its own parallelism.
+    """
+    if sort and files is None:
+        raise ValueError("sorted files need their number")
+    out = df if files is None else sorted_for_write(df, sort, files) if sort else df.repartition(files)
     out.write.format(fmt).mode("overwrite").option("compression", compression).save(path)
 
 

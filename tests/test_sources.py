@@ -48,3 +48,63 @@ def test_calendar(spark):
     df = spark.createDataFrame([("a", dt.date(2024, 1, 1)), ("a", dt.date(2024, 1, 15)), ("b", dt.date(2024, 1, 7))], "k string, date date")
     got = scans.calendar(df, keys=["k"], sundays=True).collect()
     assert sorted((r.k, str(r.date)) for r in got) == [("a", "2024-01-07"), ("a", "2024-01-14"), ("b", "2024-01-07")]
+
+
+def test_needed_days_are_merged():
+    d = dt.date
+    assert increments.needed_days(["2024-01-28", "2024-01-07", "2024-01-14"], 6) == [(d(2024, 1, 1), d(2024, 1, 14)), (d(2024, 1, 22), d(2024, 1, 28))]
+    assert increments.needed_days([], 6) == []
+
+
+def test_missing_snapshots_read_only_their_partitions(spark, tmp_path):
+    source, table = str(tmp_path / "raw"), str(tmp_path / "features")
+    days = spark.sql("SELECT explode(sequence(DATE'2024-01-01', DATE'2024-03-31')) AS date").selectExpr("date", "explode(sequence(1, 3)) AS x")
+    sinks.write_partitions(days, source)
+    raw, read = spark.read.parquet(source), []
+
+    def build(rows, snapshots):
+        read.append({f.rsplit("date=", 1)[1][:10] for f in rows.inputFiles()})
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+        pairs = rows.crossJoin(F.broadcast(spark.createDataFrame([(s,) for s in snapshots], "snap date")))
+        return pairs.filter("date > date_sub(snap, 7) AND date <= snap").groupBy(F.col("snap").alias("date")).agg(F.sum("x").alias("x"))
+
+    first, later = ["2024-01-14", "2024-03-03"], ["2024-01-14", "2024-01-21", "2024-03-03", "2024-03-10"]
+    assert [str(d) for d in increments.update_snapshots(raw, table, first, 6, build)] == first
+    assert [str(d) for d in increments.update_snapshots(raw, table, later, 6, build)] == ["2024-01-21", "2024-03-10"]
+    assert increments.update_snapshots(raw, table, later, 6, build) == [] and len(read) == 2
+    week = lambda s: {str(dt.date.fromisoformat(s) - dt.timedelta(days=i)) for i in range(7)}
+    pruned = {str(r.date) for r in increments.days_of(raw, increments.needed_days(["2024-01-21", "2024-03-10"], 6)).select("date").distinct().collect()}
+    assert pruned == week("2024-01-21") | week("2024-03-10")
+    assert sorted((str(r.date), r.x) for r in spark.read.parquet(table).collect()) == [(s, 42) for s in later]
+
+
+def test_a_run_that_died_leaves_whole_partitions(spark, tmp_path):
+    table = tmp_path / "features"
+    raw = spark.sql("SELECT explode(sequence(DATE'2024-01-01', DATE'2024-01-31')) AS date, 1 AS x")
+    build = lambda rows, snapshots: rows.filter(F.col("date").isin(snapshots))
+    increments.update_snapshots(raw, str(table), ["2024-01-07"], 0, build)
+    left = table / "_staging-dead" / "date=2024-01-14"
+    left.mkdir(parents=True)
+    (left / "part-0.parquet").write_bytes(b"half a file")
+    assert spark.read.parquet(str(table)).count() == 1
+    increments.update_snapshots(raw, str(table), ["2024-01-07", "2024-01-14"], 0, build)
+    assert spark.read.parquet(str(table)).count() == 2 and not (table / "_staging-dead").exists()
+
+
+def test_truncated_files_are_named_and_the_rest_is_read(spark, tmp_path):
+    folder = tmp_path / "t x+y"
+    spark.range(0, 4000, 1, 4).selectExpr("id", "concat('v', id) AS v").write.parquet(str(folder))
+    parts = sorted(folder.glob("part-*.parquet"))
+    parts[1].write_bytes(parts[1].read_bytes()[:-200])
+    parts[2].write_bytes(b"no table")
+    assert scans.read_table(spark, str(folder), skip_corrupt=True).count() == 2000
+    assert sorted(r.file for r in scans.skipped_files(spark, str(folder)).collect()) == sorted(map(str, parts[1:3]))
+    assert scans.skipped_files(spark, str(folder)).columns == ["file"]
+
+
+def test_files_without_a_bound_keep_their_tasks(spark, tmp_path):
+    sinks.write_files(spark.range(0, 100, 1, 5), str(tmp_path / "five"))
+    assert len(list((tmp_path / "five").glob("part-*"))) == 5
+    sinks.write_files(spark.range(0, 100, 1, 5), str(tmp_path / "two"), 2)
+    assert len(list((tmp_path / "two").glob("part-*"))) == 2
