@@ -197,7 +197,7 @@ def price_feed(f):
     return feeds.prices(raw.unionByName(broken))
 
 
-@query("S8_percent_feed", "SELECT date, percentage, indicator FROM indicator WHERE indicator = 'a'", "indicator", "percentage", "date|indicator", whole=False)
+@query("S8_percent_feed", "SELECT date, percentage, indicator FROM indicator", "indicator", "percentage", "date|indicator", whole=False)
 def percent_feed(f):
-    raw = f.indicator().filter("indicator = 'a'").select(F.date_format("date", "yyyy-MM-dd").alias("date"), F.format_string("%.2f%%", "percentage").alias("percentage"))
-    return feeds.percentages(raw, "a")
+    raw = f.indicator().select(F.date_format("date", "yyyy-MM-dd").alias("date"), F.format_string("%.2f%%", "percentage").alias("percentage"), F.col("indicator").alias("feed"))
+    return feeds.percentages(raw, F.col("feed"))

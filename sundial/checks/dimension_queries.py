@@ -89,14 +89,13 @@ def brands(f):
     return dn.canonical_brands(f.tac_raw()).groupBy("tac", "device_brand").agg(F.count(F.lit(1)).alias("n"))
 
 
-OWN = "SELECT tac, CASE WHEN lower(device_brand) = 'oppo' THEN 'own brand' WHEN lower(device_brand) LIKE 'samsung%' THEN 'samsung' END AS own FROM tac_raw WHERE lower(device_brand) = 'oppo' OR lower(device_brand) LIKE 'samsung%'"
-
-
-@query("DC1_own_brand_aliases", f"SELECT own AS device_brand, count(*) AS n FROM ({OWN}) GROUP BY 1", "tac_raw", texts="device_brand")
+@query("DC1_own_brand_aliases", f"WITH {CLEAN} SELECT CASE WHEN raw <> 'none' AND length(raw) % 2 = 0 THEN 'own ' || raw ELSE brand END AS device_brand, count(*) AS n FROM b GROUP BY 1", "tac_raw", texts="device_brand")
 def own_brands(f):
+    """An alias table of the caller's own for about half of all brands; the others keep their canonical names."""
     raw = f.tac_raw()
-    aliases = raw.filter("lower(device_brand) = 'oppo'").select(F.lower("device_brand").alias("alias"), F.lit("own brand").alias("brand")).distinct()
-    return dn.canonical_brands(raw, aliases).filter("device_brand IN ('own brand', 'samsung')").groupBy("device_brand").agg(F.count(F.lit(1)).alias("n"))
+    name = F.lower(F.trim("device_brand"))
+    aliases = raw.filter(F.length(name) % 2 == 0).select(name.alias("alias"), F.concat(F.lit("own "), name).alias("brand")).distinct()
+    return dn.canonical_brands(raw, aliases).groupBy("device_brand").agg(F.count(F.lit(1)).alias("n"))
 
 
 DETAIL = "device_brand|device_model|device_name"
@@ -190,9 +189,15 @@ def duplicates(f):
     return duplicate_rows(cleaned(f), "tac", ["device_brand", "device_model"])
 
 
-@query("J20_key_changes", f"WITH {CLEAN}, kept AS (SELECT DISTINCT tac FROM named WHERE device_brand IN ('samsung', 'apple', 'xiaomi', 'nokia')) SELECT DISTINCT tac, 'lost' AS change FROM tac_raw WHERE tac NOT IN (SELECT tac FROM kept)", "tac_raw", texts="change")
+J20 = (f"WITH {GROUPED}, before AS (SELECT DISTINCT device_name FROM w), after AS (SELECT DISTINCT device_name FROM w WHERE NOT {OVERLAP} UNION SELECT device_model FROM models) "
+       "SELECT device_name, 'lost' AS change FROM before WHERE device_name NOT IN (SELECT device_name FROM after) UNION ALL SELECT device_name, 'added' FROM after WHERE device_name NOT IN (SELECT device_name FROM before)")
+
+
+@query("J20_key_changes", J20, "tac_raw", texts="device_name|change", whole=False)
 def changes(f):
-    return key_changes(f.tac_raw(), cleaned(f).filter("device_brand IN ('samsung', 'apple', 'xiaomi', 'nokia')"), "tac")
+    """Names that the near-duplicate step removes everywhere, and names that only the model dictionary has."""
+    after = dn.without_near_duplicates(grouped(f), "code").select("device_name").unionByName(models(f).select(F.col("device_model").alias("device_name")))
+    return key_changes(grouped(f), after, "device_name")
 
 
 # registry

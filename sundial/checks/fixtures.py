@@ -113,7 +113,7 @@ class Fixtures:
         daily = self.events.selectExpr("user_id", "to_date(ts) AS date", "event_id", "event_id % 2 AS parity").groupBy(
             "user_id", "date", "parity").agg(F.min("event_id").alias("e"))
         ago = "date_sub(date, CAST(e % {} AS INT))"
-        codes = "concat('B', e % 9, '#b', e % 9, ',', CASE WHEN e % 3 = 0 THEN '' ELSE concat(' b', e % 4, '#x') END, ',B', e % 9)"
+        codes = "concat('B', e % 27, '#b', e % 27, ',', CASE WHEN e % 3 = 0 THEN '' ELSE concat(' b', e % 4, '#x') END, ',B', e % 27)"
         return daily.selectExpr(
             "user_id AS phone_number", "CASE parity WHEN 0 THEN 'MM' ELSE 'VP' END AS mother_system", "e AS mobile_id",
             "e % 63 AS province_code", "e % 700 AS district", f"{ago.format(900)} AS actv_date",
@@ -126,7 +126,7 @@ class Fixtures:
             "CASE WHEN e % 13 <> 0 THEN concat('C', e % 2) END AS core_bank_code", "date")
 
     def bank_map(self) -> DataFrame:
-        return self.nation.filter("n_nationkey < 8").selectExpr(
+        return self.nation.selectExpr(
             "concat('B', n_nationkey) AS bank_code",
             "CASE n_nationkey % 6 WHEN 0 THEN 'State-Owned Commercial Bank' WHEN 1 THEN 'State-Owned Limited Liability Bank' "
             "WHEN 2 THEN 'Wholly Foreign-Owned Bank' WHEN 3 THEN 'Non-Bank Financial Institution' "
@@ -281,7 +281,7 @@ class Fixtures:
 
 _SUNDAY = "CAST(date + (7 - isodow(date))::INT AS DATE)"
 _AGO = "CAST(date - (e % {})::INT AS DATE)"
-_CODES = "concat('B', e % 9, '#b', e % 9, ',', CASE WHEN e % 3 = 0 THEN '' ELSE concat(' b', e % 4, '#x') END, ',B', e % 9)"
+_CODES = "concat('B', e % 27, '#b', e % 27, ',', CASE WHEN e % 3 = 0 THEN '' ELSE concat(' b', e % 4, '#x') END, ',B', e % 27)"
 _K = "CAST(json_extract_string(props, '$.k') AS {})"
 _Y = "CASE o_orderstatus WHEN 'F' THEN 1 ELSE 0 END"
 _TOKEN = "(['cs', 'bnpl', 'lead', 'is', 'cs_generic', 'other'])[o_orderkey % 6 + 1]"
@@ -301,7 +301,7 @@ SQL: dict[str, tuple[str, str]] = {
     "cell_map": ("cell_daily", "SELECT cell_id, place * 10 AS district_code, concat('D', place) AS district_name, place AS province_code, r_name AS province_name, DATE '2023-01-01' + 365 * version AS date FROM (SELECT cell_id, version, (CASE WHEN cell_id < 80 THEN 0 ELSE cell_id % 5 END + 1 - version) % 5 AS place FROM (SELECT DISTINCT cell_id FROM cell_daily WHERE cell_id % 4 <> 0) c, (VALUES (0), (1)) v(version)) p JOIN region ON place = r_regionkey"),
     "seed_daily": ("order_lines", "SELECT o_custkey AS phone_number, l_suppkey AS cell_id, CAST(l_quantity AS BIGINT) AS sum_logs_count, l_partkey % 50 AS ref_cell_id, CAST(l_linenumber AS BIGINT) AS ref_sum_logs_count, r_name AS ref_province_name, CAST(l_shipdate AS DATE) AS date FROM order_lines JOIN region ON r_regionkey = (o_custkey + l_suppkey % 2) % 5"),
     "wallet_daily": ("", f"SELECT user_id AS phone_number, CASE parity WHEN 0 THEN 'MM' ELSE 'VP' END AS mother_system, e AS mobile_id, e % 63 AS province_code, e % 700 AS district, {_AGO.format(900)} AS actv_date, {_AGO.format(60)} AS updated_date, {_AGO.format(365)} AS pin_date, {_AGO.format(120)} AS info_updated_date, CASE WHEN e % 5 <> 0 THEN {_AGO.format(400)} END AS money_source_linked_date, {_AGO.format(30)} AS customer_type_date, CASE WHEN e % 7 <> 0 THEN 'BANK,CARD,BANK' ELSE 'CARD' END AS money_source_table, CASE WHEN e % 11 <> 0 THEN {_CODES} END AS money_sources, e % 3 AS pin_status, e % 4 AS mobile_level, CASE WHEN e % 6 = 0 THEN e % 50 END AS company_id, CASE WHEN e % 4 <> 0 THEN 'SHOP' END AS channel_type, CASE WHEN e % 10 <> 0 THEN concat('V', e % 3) END AS partner_bank_code, CASE WHEN e % 13 <> 0 THEN concat('C', e % 2) END AS core_bank_code, date FROM (SELECT user_id, CAST(ts AS DATE) AS date, event_id % 2 AS parity, min(event_id) AS e FROM events GROUP BY 1, 2, 3) d"),
-    "bank_map": ("", "SELECT concat('B', n_nationkey) AS bank_code, (['State-Owned Commercial Bank', 'State-Owned Limited Liability Bank', 'Wholly Foreign-Owned Bank', 'Non-Bank Financial Institution', 'Joint Stock Commercial Bank', 'Joint Venture Bank'])[n_nationkey % 6 + 1] AS bank_type, (['Large', 'Medium', 'small'])[n_nationkey % 3 + 1] AS bank_size FROM nation WHERE n_nationkey < 8"),
+    "bank_map": ("", "SELECT concat('B', n_nationkey) AS bank_code, (['State-Owned Commercial Bank', 'State-Owned Limited Liability Bank', 'Wholly Foreign-Owned Bank', 'Non-Bank Financial Institution', 'Joint Stock Commercial Bank', 'Joint Venture Bank'])[n_nationkey % 6 + 1] AS bank_type, (['Large', 'Medium', 'small'])[n_nationkey % 3 + 1] AS bank_size FROM nation"),
     "data_charge": ("", f"SELECT user_id AS phone_number, ts AS start_time, CASE WHEN event_id % 9 <> 0 THEN value END AS up_data, value * {_K.format('DOUBLE')} AS down_data, value AS charge_amount, {_K.format('DOUBLE')} * 10 AS balance_remain, CAST(ts AS DATE) AS date FROM events"),
     "usage_pre": ("", "SELECT o_custkey AS phone_number, " + ", ".join(f"o_totalprice * {i} / 100 AS {c}" for i, c in enumerate(COSTS, 3)) + ", CAST(date_trunc('month', o_orderdate) AS DATE) AS date FROM orders WHERE o_custkey % 2 = 1"),
     "usage_pos": ("", "SELECT o_custkey AS phone_number, " + ", ".join(f"o_totalprice * {i} / 90 AS {c}" for i, c in enumerate(COSTS, 2) if c not in PREPAID_ONLY) + ", CAST(date_trunc('month', o_orderdate) AS DATE) AS date FROM orders WHERE o_custkey % 2 = 0"),

@@ -48,10 +48,10 @@ def fs7(f):
     return f.part.select("p_partkey", F.regexp_replace("p_name", r"(\w+) (\w+)", "$2-$1").alias("swapped"), F.regexp_replace("p_brand", r"Brand#(\d+)", "brand $1").alias("brand"))
 
 
-@query("FS8_dictionary", "SELECT device_brand, count(*) AS n FROM (SELECT CASE lower(device_brand) WHEN 'redmi' THEN 'xiaomi' WHEN 'poco' THEN 'xiaomi' WHEN 'mi' THEN 'xiaomi' ELSE lower(device_brand) END AS device_brand FROM tac_raw) GROUP BY 1", "tac_raw", texts="device_brand")
+@query("FS8_dictionary", "SELECT device_brand, count(*) AS n FROM (SELECT CASE lower(device_brand) WHEN 'redmi' THEN 'xiaomi' WHEN 'poco' THEN 'xiaomi' WHEN 'mi' THEN 'xiaomi' WHEN 'shenzhen huafurui technology co ltd' THEN 'cubot' ELSE lower(device_brand) END AS device_brand FROM tac_raw) GROUP BY 1", "tac_raw", texts="device_brand")
 def fs8(f):
     brand = F.lower("device_brand")
-    known = F.try_element_at(dn._literal_map({k: dn.BRAND_ALIASES[k] for k in ("redmi", "poco", "mi")}), brand)
+    known = F.try_element_at(dn._literal_map(dn.BRAND_ALIASES), brand)
     return f.tac_raw().groupBy(F.coalesce(known, brand).alias("device_brand")).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -398,10 +398,10 @@ def a13(f):
     return agg.roll_forward(scans.last_weeks(weekly, ORDERS_SNAPSHOT, 12), [PHONE], {"days": "sum", "top": "max", "low": "min", "mean": "avg"}, "l1w", "l12w")
 
 
-@query("A14_statistics_by_name", "SELECT phone_number, " + ", ".join(f"{e}({c}) AS {c}_{n}" for c in COSTS[:5] for e, n in (("avg", "avg"), ("stddev_samp", "std"), ("sum", "sum"), ("min", "min"))) + " FROM usage_pre GROUP BY 1", "usage_pre", ".*_(avg|std|sum|min)", digits=3)
+@query("A14_statistics_by_name", "SELECT phone_number, " + ", ".join(f"{e}({c}) AS {c}_{n}" for c in COSTS for e, n in (("avg", "avg"), ("stddev_samp", "std"), ("sum", "sum"), ("min", "min"))) + " FROM usage_pre GROUP BY 1", "usage_pre", ".*_(avg|std|sum|min)", digits=3)
 def a14(f):
     functions = {"avg": F.avg, "std": F.stddev, "sum": F.sum, "min": F.min}
-    return f.usage_pre().groupBy(PHONE).agg(*[fn(c).alias(f"{c}_{n}") for c in COSTS[:5] for n, fn in functions.items()])
+    return f.usage_pre().groupBy(PHONE).agg(*[fn(c).alias(f"{c}_{n}") for c in COSTS for n, fn in functions.items()])
 
 
 @query("A15_conditional", "SELECT phone_number, sum(amount) FILTER (amount > 0) AS cash_out, count(*) FILTER (amount < 0) AS n_in, avg(amount) FILTER (amount < 0) AS mean_in FROM balance_txn GROUP BY 1", "balance_txn", "cash_out|mean_in", digits=3)
@@ -556,10 +556,10 @@ def w11(f):
     return f.series().select("ticker", "date", (F.col("close") / peak - 1).alias("drawdown"))
 
 
-@query("W12_first_and_last_known", "SELECT phone_number, min_by(company_id, date) FILTER (company_id IS NOT NULL) AS first_company, max_by(company_id, date) FILTER (company_id IS NOT NULL) AS last_company FROM wallet_daily WHERE mother_system = 'MM' GROUP BY 1", "wallet_daily")
+@query("W12_first_and_last_known", "SELECT phone_number, mother_system, min_by(company_id, date) FILTER (company_id IS NOT NULL) AS first_company, max_by(company_id, date) FILTER (company_id IS NOT NULL) AS last_company FROM wallet_daily GROUP BY 1, 2", "wallet_daily", texts="mother_system")
 def w12(f):
     known = F.when(F.col("company_id").isNotNull(), F.col("date"))
-    return f.wallet_daily().filter("mother_system = 'MM'").groupBy(PHONE).agg(F.min_by("company_id", known).alias("first_company"), F.max_by("company_id", known).alias("last_company"))
+    return f.wallet_daily().groupBy(PHONE, "mother_system").agg(F.min_by("company_id", known).alias("first_company"), F.max_by("company_id", known).alias("last_company"))
 
 
 @query("W13_forward_fill", "WITH spine AS (SELECT indicator, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM indicator GROUP BY 1) "

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sundial.functions.numbers import parse_number, parse_percent, parse_volume
@@ -30,12 +30,12 @@ def prices(raw: DataFrame, names: dict[str, str] | None = None, pattern: str = "
     return typed.filter("date IS NOT NULL AND close IS NOT NULL")
 
 
-def percentages(raw: DataFrame, indicator: str) -> DataFrame:
-    """Monthly percentage rows tagged with the indicator's name."""
+def percentages(raw: DataFrame, indicator: str | Column) -> DataFrame:
+    """Monthly percentage rows tagged with the indicator's name, or with a column that holds it where a feed has several."""
     return raw.select(
         F.to_date(F.try_to_timestamp(F.trim("date"), F.lit("yyyy-MM-dd"))).alias("date"),
         parse_percent(F.col("percentage")).alias("percentage"),
-        F.lit(indicator).alias("indicator"),
+        (indicator if isinstance(indicator, Column) else F.lit(indicator)).alias("indicator"),
     ).filter("date IS NOT NULL AND percentage IS NOT NULL")
 
 
