@@ -9,6 +9,7 @@ from sundial.checks.registry import query
 from sundial.operators.joins import key_changes
 from sundial.operators.quality import duplicate_rows
 from sundial.plans import assignments, device_names as dn
+from sundial.session import cut_lineage
 
 SNAP = f"DATE '{ORDERS_SNAPSHOT}'"
 
@@ -196,8 +197,9 @@ J20 = (f"WITH {GROUPED}, before AS (SELECT DISTINCT device_name FROM w), after A
 @query("J20_key_changes", J20, "tac_raw", texts="device_name|change", whole=False)
 def changes(f):
     """Names that the near-duplicate step removes everywhere, and names that only the model dictionary has."""
-    after = dn.without_near_duplicates(grouped(f), "code").select("device_name").unionByName(models(f).select(F.col("device_model").alias("device_name")))
-    return key_changes(grouped(f), after, "device_name")
+    before = cut_lineage(grouped(f))
+    after = dn.without_near_duplicates(before, "code").select("device_name").unionByName(models(f).select(F.col("device_model").alias("device_name")))
+    return key_changes(before, after, "device_name")
 
 
 # registry
