@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sundial.llm.shared import bounded, saved
+from sundial.llm.shared import bounded, fresh, saved
 
 WORDS = 5
 BROADCAST_ROWS = 500_000
@@ -104,7 +104,8 @@ OUTPUT = "doc_id long, text_key long, item_id long, n_item long, n_shared long,
 
 
 def clean(documents: DataFrame, benchmark: DataFrame, share: float = 0.75) -> DataFrame:
-    """Documents, all columns, without those that contain an item."""
-    found = contained(documents, benchmark, share).select(F.col("text_key").alias("__key")).distinct()
+    """Documents, all columns whatever their names, without those that contain an item."""
+    key, = fresh(["__key"], documents.columns)
+    found = contained(documents, benchmark, share).select(F.col("text_key").alias(key)).distinct()
     found = bounded(saved(found, "contaminated"))
-    return (documents.withColumn("__key", F.xxhash64("text", F.length("text"))).join(found, "__key", "left_anti").select(*[f"`{c}`" for c in documents.columns]))
+    return (documents.withColumn(key, F.xxhash64("text", F.length("text"))).join(found, key, "left_anti").select(*[f"`{c}`" for c in documents.columns]))

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sundial.llm.shared import text_slices
@@ -208,18 +208,29 @@ def sample(labelled: DataFrame, documents_per_language: int) -> tuple[list[bytes
               .where(F.col("mark") * F.col("count") < documents_per_language))
     starts = F.transform(F.array(*[F.lit(i) for i in range(4)]), lambda i: F.substring(
         F.col("text"), (F.pmod(F.xxhash64(F.col("text"), i), F.greatest(F.length("text") - 199, F.lit(1))) + 1).cast("int"), F.lit(200)))
-    rows = chosen.select("lang", F.explode(starts).alias("part")).collect()
+    # of a text with many copies one comes to the driver
+    rows = chosen.select("lang", "text").distinct().select("lang", F.explode(starts).alias("part")).collect()
     rows.sort()
     return [r.part.encode() for r in rows], [r.lang for r in rows]
 
 
-OUTPUT = "lang_pred string, score double, position_share double"
+RESULTS = ("lang_pred", "score", "position_share")
 
 
-def predict(df: DataFrame, model: Model | None, keep: list[str], text: str = "text") -> DataFrame:
-    """Columns `keep` of df with lang_pred, score (pooled probability) and position_share (positions that agree)."""
-    own = df.select(*keep, F.col(text).alias("__text"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("__letters"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-2]), OUTPUT])
+def has_letter(text: Column) -> Column:
+    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+
+
+def predict(df: DataFrame, model: Model | None, keep: list[str], text: str = "text", results: tuple[str, str, str] = RESULTS) -> DataFrame:
+    """Columns `keep` of df with lang_pred, score (pooled probability) and position_share (positions that agree).
+
+    Null texts, texts without a letter, and all texts where there is no model, are `und` with score 0. Kept columns may have any
+    name but those of `results`, which is an error; give other result names then.
+    """
+    if clash := set(results) & set(keep):
+        raise ValueError(f"kept columns are named like results: {sorted(clash)}")
+    own = df.select(F.struct(*keep).alias("__kept"), F.col(text).alias("__text"), has_letter(F.col(text)).alias("__letters"))
+    schema = f"__kept {own.schema['__kept'].dataType.simpleString()}, __language string, __score double, __share double"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,12 +246,18 @@ def predict(df: DataFrame, model: Model | None, keep: list[str], text: str = "te
                     scores[rows] = np.clip(sums[rows, best[rows]] / total[rows], 0, 1)
                     shares[rows] = wins[rows, best[rows]] / total[rows]
                 columns = [pa.array(names, pa.string()), pa.array(scores), pa.array(shares)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-2], *columns], [*keep, "lang_pred", "score", "position_share"])
+                yield pa.RecordBatch.from_arrays([part.column("__kept"), *columns], ["__kept", "__language", "__score", "__share"])
+
+    found = own.mapInArrow(run, schema)
+    return found.select(*[F.col("__kept").getField(c).alias(c) for c in keep], *[F.col(c).alias(n) for c, n in zip(("__language", "__score", "__share"), results, strict=True)])
 
-    return own.mapInArrow(run, schema)
 
+def identify(documents: DataFrame, training: DataFrame, keep: list[str], documents_per_language: int = 600, steps: int = 250,
+             results: tuple[str, str, str] = RESULTS) -> DataFrame:
+    """Train on (text, lang) of `training`, then label every row of `documents`; see `predict`.
 
-def identify(documents: DataFrame, training: DataFrame, keep: list[str], documents_per_language: int = 600, steps: int = 250) -> DataFrame:
-    """Train on (text, lang) of `training`, then label every row of `documents`."""
+    Rows without a label or text are not learned from; without any to learn from, all rows are `und`. A repeated text counts once
+    for its language.
+    """
     texts, labels = sample(training, documents_per_language)
-    return predict(documents, train(texts, labels, steps) if labels else None, keep)
+    return predict(documents, train(texts, labels, steps) if labels else None, keep, results=results)

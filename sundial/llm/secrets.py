@@ -113,14 +113,23 @@ def linked(scanned: DataFrame, text: str = "text", reach: int = REACH) -> DataFr
     return whole.groupBy("__key").agg(F.collect_list(F.struct("start", "kind", "end")).alias("__linked"))
 
 
-def scan(documents: DataFrame, keep: list[str], text: str = "text", reach: int = REACH) -> DataFrame:
-    """Columns `keep` with all spans (array of start, kind, end), and the strong ones, of every row's text."""
-    scanned = strong_spans(documents.select(*dict.fromkeys([*keep, text]), F.xxhash64(_text(text), F.length(_text(text))).alias("__key")), text)
-    found = bounded(saved(linked(scanned, text, reach), "linked"), BROADCAST_TEXTS)
-    return (scanned.select(*keep, "__key", "__assign", "__access", "__hex", "__strong").join(found, "__key", "left")
-            .select(*keep, F.col("__assign").alias("assign_spans"), F.col("__access").alias("access_spans"), F.col("__hex").alias("hex_spans"),
-                    F.col("__strong").alias("strong_spans"),
-                    F.concat("__strong", F.coalesce("__linked", F.array().cast(NO_SPANS))).alias("all_spans")))
+RESULTS = ("assign_spans", "access_spans", "hex_spans", "strong_spans", "all_spans")
+
+
+def scan(documents: DataFrame, keep: list[str], text: str = "text", reach: int = REACH, results: tuple[str, ...] = RESULTS) -> DataFrame:
+    """Columns `keep` with the spans of every row's text (arrays of start, kind, end): by strong kind, strong, all.
+
+    Null and empty texts have none. Kept columns may have any name but those of `results`, which is an error; give other result
+    names then. Repeated rows are rows of their own.
+    """
+    if clash := set(results) & set(keep):
+        raise ValueError(f"kept columns are named like results: {sorted(clash)}")
+    own = documents.select(F.struct(*keep).alias("__kept"), F.col(text).alias("__text"), F.xxhash64(_text(text), F.length(_text(text))).alias("__key"))
+    scanned = strong_spans(own, "__text")
+    found = bounded(saved(linked(scanned, "__text", reach), "linked"), BROADCAST_TEXTS)
+    spans = [F.col("__assign"), F.col("__access"), F.col("__hex"), F.col("__strong"), F.concat("__strong", F.coalesce("__linked", F.array().cast(NO_SPANS)))]
+    return (scanned.select("__kept", "__key", "__assign", "__access", "__hex", "__strong").join(found, "__key", "left")
+            .select(*[F.col("__kept").getField(c).alias(c) for c in keep], *[s.alias(n) for s, n in zip(spans, results, strict=True)]))
 
 
 def report(documents: DataFrame) -> DataFrame:

@@ -43,6 +43,18 @@ def discard(*tables: DataFrame) -> None:
             files.delete_dir(path)
 
 
+def fresh(names: list[str], taken: list[str]) -> tuple[str, ...]:
+    """The names, with underscores in front until none is taken (column names do not differ by case)."""
+    known = {c.lower() for c in taken}
+    out = []
+    for name in names:
+        while name.lower() in known:
+            name = f"_{name}"
+        known.add(name.lower())
+        out.append(name)
+    return tuple(out)
+
+
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A table that is already written may be broadcast if it has few rows; a larger one is joined by sorting."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

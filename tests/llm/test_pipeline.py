@@ -6,7 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from sundial.llm import bpe, queries
+from pyspark.sql import functions as F
+
+from sundial.llm import bpe, language, queries, secrets
+from sundial.llm.shared import fresh
 from test_jaccard import brute
 from test_text_operators import base_spans
 
@@ -91,3 +94,42 @@ def test_registered_queries_and_sql(spark):
         assert columns == sorted(d[0] for d in cursor.description)
         order = [[d[0] for d in cursor.description].index(c) for c in columns]
         assert Counter(tuple(r) for r in df.select(*columns).collect()) == Counter(tuple(r[i] for i in order) for r in cursor.fetchall())
+
+
+TAKEN = [*language.RESULTS, *secrets.RESULTS, "token_ids", "__kept", "__text", "__letters", "__language", "__score", "__share", "__key", "__id", "__strong", "__weak", "__linked", "__assign", "count", "rows", "Score"]
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_hold_columns_of_any_name(spark, name, stage):
+    """Extra columns named like results and like what the stages use inside come back as they were."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    plain = {r.doc_id for r in stage(spark, docs, FOLDER).collect()}
+    names = [c for c in TAKEN if c != "Score"]
+    wide = docs.select("*", *[F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")).alias(c) for c in names])
+    got = stage(spark, wide, FOLDER)
+    assert got.columns[:len(wide.columns)] == wide.columns and len(got.columns) == len(wide.columns) + (name == "bpe")
+    rows = got.collect()
+    assert {r.doc_id for r in rows} == plain
+    assert all(r[c] == f"{c} {r.doc_id}" for r in rows for c in names)
+
+
+def test_without_labels_only_texts_without_letters_go(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    odd = spark.createDataFrame([(900001, None, None, None, None), (900003, "12 34 !", None, "s", 7)], docs.schema)
+    got = corpus_pipeline.identify_language(spark, docs.unionByName(odd), FOLDER)
+    assert {r.doc_id for r in got.collect()} == {r.doc_id for r in docs.collect()}
+
+
+def test_many_languages_reject_no_text_with_letters(spark):
+    rows = [(i, f"word{i % 40} zz{i % 40} " * 30, f"l{i % 40}", "s", 1) for i in range(200)] + [(900, "x", None, "s", 1), (901, "?!", "l1", "s", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert corpus_pipeline.identify_language(spark, docs, FOLDER).count() == 201
+
+
+def test_result_names_that_are_taken_are_an_error(spark):
+    df = spark.createDataFrame([(1, "a b", 0.5)], "doc_id long, text string, score double")
+    with pytest.raises(ValueError):
+        language.predict(df, None, ["doc_id", "score"])
+    with pytest.raises(ValueError):
+        secrets.scan(df.withColumnRenamed("score", "all_spans"), ["doc_id", "all_spans"])
+    assert fresh(["a", "b", "a"], ["A", "_a"]) == ("__a", "b", "___a")
