@@ -154,7 +154,8 @@ def current_devices(weekly: DataFrame, activated: DataFrame, tac_map: DataFrame,
     suffix = f"l{weeks}w"
     rows = after_until(weekly, as_date(snapshot) - dt.timedelta(weeks=12), snapshot).filter("imei IS NOT NULL")
     own = current_activation(rows, activation_dates(activated, snapshot), strict=False).distinct()
-    daily = own.groupBy(PHONE, "tac", "date").agg(F.count(F.lit(1)).alias("__events"))
+    # subscriber-days, far fewer than sightings: kept, as what follows reads them four times
+    daily = cut_lineage(own.groupBy(PHONE, "tac", "date").agg(F.count(F.lit(1)).alias("__events")))
     daily = recent_rows(daily, [PHONE], "date", weeks * 7)
     totals = daily.groupBy(PHONE).agg(
         F.sum("__events").alias(f"device_active_events_{suffix}"),

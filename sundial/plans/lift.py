@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from sundial.functions.dates import DateLike, day, month_label
 from sundial.operators.columns import fill_missing
 from sundial.operators.ordering import top_n
+from sundial.operators.ranges import running_totals
 from sundial.operators.sampling import PRIME as DRAWS
 from sundial.operators.sampling import capped, draw_of, fraction_of, row_draw
-from sundial.operators.sequences import running_totals
 from sundial.session import cut_lineage
 
 NOISE = "__noise__"
