@@ -84,9 +84,9 @@ def test_empty_table(spark):
 
 def test_registered_queries_and_sql(spark):
     found, sql = entry.queries(), entry.oracle_sql()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in found if k.startswith("op")} and "pipeline" in found
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in found if k.startswith("op")} and "pipeline" in found
     db = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "embeddings"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     for name in queries.SQL:
         df, cursor = found[name](spark, FOLDER), db.execute(sql[name])
