@@ -7,7 +7,9 @@ next. Two sets that differ in at most H elements agree in at least one of any H
 its one-deletion neighbourhood counts twice). That gives, in turn:
 
 1. A set with H + 1 signatures that no other set has, in each of its bands, has no partner (`live` sets remain).
-2. Members of a bucket (one signature) are held against its least member: those links alone make most components.
+2. Members of a bucket (one signature) are held against its least member: those links alone make most components. Then
+   buckets are dealt into cells of a few members, and what a set meets there most often, in another component, is
+   looked at: sets of one large group find its component without meeting all of it. Rounds go on while they pay.
 3. What is left is paid for by cost: a segment whose bucket has no member of a larger component is free; then come, by
    price, other buckets and second, one-deletion searches of free segments. Only sets of different components are
    paired, and of two components the smaller one searches.
@@ -36,6 +38,8 @@ from sundial.llm.shared import bounded, saved, text_slices
 
 ROWS_PER_TASK = 1_000_000
 FLUSH = 1 << 20
+#: Dealt rounds: members of a cell, partners that a set looks at in a round, and the part of the asking sets that must find one for another round.
+CELL, LOOKS, PAYS = 8, 3, 0.05
 
 
 def band(n: int) -> int:
@@ -258,6 +262,23 @@ def _packed(sig: np.ndarray, parts: int) -> np.ndarray:
     return (sig & np.uint64((1 << 48) - 1) | _part(sig, parts) << np.uint64(48)).view(np.int64)
 
 
+def dealt(near: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of different components for a round of looks, as many as `LOOKS` for a set b.
+
+    Members of a bucket go to cells of about `CELL` by a hash that differs by bucket and round, so no bucket is gathered; each is
+    held against the member of its cell with the largest component, and those met in most buckets are taken.
+    """
+    weight = roots.groupBy("root").agg(F.count("*").alias("weight"))
+    rooted = bounded(saved(roots.join(weight, "root"), "dealt-roots"))
+    own = F.struct(F.coalesce("weight", F.lit(1)).alias("weight"), F.xxhash64("node", F.lit(turn)).alias("draw"), F.coalesce("root", "node").alias("root"), "node")
+    cell = F.pmod(F.xxhash64("sig", "node", F.lit(turn)), F.ceil(F.col("times") / CELL)).alias("cell")
+    cells = near.join(rooted, "node", "left").select("sig", cell, own.alias("own")).groupBy("sig", "cell").agg(F.collect_list("own").alias("members"))
+    met = (cells.where(F.size("members") > 1).select(F.array_max("members").alias("top"), F.explode("members").alias("own")).where("own.root != top.root")
+           .groupBy(F.col("own.node").alias("b"), F.col("top.node").alias("a")).agg(F.count("*").alias("n")))
+    turns = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("n"), "a"))  # as many rows as the set has segments, at most
+    return met.withColumn("turn", turns).where(F.col("turn") <= LOOKS).select("a", "b")
+
+
 def residual(near: DataFrame, sets: DataFrame, roots: DataFrame, sizes: DataFrame, parts: int) -> DataFrame:
     """Pairs of different components that the allocation of some set still has to look at.
 
@@ -345,10 +366,21 @@ def _links(documents: DataFrame, nodes: DataFrame, shared: DataFrame, parts: int
     sets = saved(whole_sets(texts).join(bounded(live.select("node")), "node", "left_semi").dropDuplicates(["node"]), "sets")
     near = shared.join(bounded(live.select("node")), "node", "left_semi")
     least = near.groupBy("sig").agg(F.min("node").alias("least"), F.count("*").alias("times")).where("times > 1")
-    near = saved(near.join(least, "sig").select("sig", "node", "next", "least"), "near")
+    near = saved(near.join(least, "sig").select("sig", "node", "next", "least", "times"), "near")
     stars = near.where("node != least").groupBy(F.col("node").alias("b"), F.col("least").alias("a")).agg(F.count("*").alias("n"))
     best = stars.groupBy("b").agg(F.max_by("a", "n").alias("a"))
     links = saved(verified(best.select("a", "b"), sets), "star-links")
-    roots = saved(components(links), "star-roots")
-    pairs = saved(residual(near.drop("least"), sets, roots, live.select("node", "n", "own", "next"), parts), "residual")
+    turn = 0
+    while True:
+        roots = saved(components(links), "star-roots")
+        looks = saved(dealt(near, roots, turn), "looks")
+        found = saved(verified(looks, sets), "look-links")
+        asking, finding = looks.select("b").distinct().count(), found.select("b").distinct().count()
+        links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found)
+        if finding <= PAYS * asking:
+            break
+        turn += 1
+    links = saved(links, "dealt-links")
+    roots = saved(components(links), "dealt-components")
+    pairs = saved(residual(near.select("sig", "node", "next"), sets, roots, live.select("node", "n", "own", "next"), parts), "residual")
     return links.unionByName(saved(verified(pairs, sets), "residual-links"))
