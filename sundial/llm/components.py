@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sundial.llm.shared import saved
+from sundial.llm.shared import discard, saved
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -22,7 +22,8 @@ def components(links: DataFrame) -> DataFrame:
         large = saved(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = saved(least.select("u", F.col("m").alias("v")).unionByName(moved).distinct(), "small-star")
+        done, edges = edges, saved(least.select("u", F.col("m").alias("v")).unionByName(moved).distinct(), "small-star")
+        discard(done, large)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

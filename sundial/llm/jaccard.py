@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from sundial.llm.arrays import STEP, by_text, mixed, shingles, words
 from sundial.llm.components import components
-from sundial.llm.shared import bounded, saved, text_slices
+from sundial.llm.shared import bounded, discard, saved, text_slices
 
 ROWS_PER_TASK = 1_000_000
 FLUSH = 1 << 20
@@ -280,7 +280,7 @@ def dealt(near: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
 
 
 def residual(near: DataFrame, sets: DataFrame, roots: DataFrame, sizes: DataFrame, parts: int) -> DataFrame:
-    """Pairs of different components that the allocation of some set still has to look at.
+    """Pairs of different components that the allocation of some set still has to look at, written.
 
     Of two components the smaller one searches (ties: that with the larger root), so a large one never pays for the
     strangers among its copies. near: signatures that two live sets share; roots: components so far; sizes: node, n and the
@@ -310,6 +310,7 @@ def residual(near: DataFrame, sets: DataFrame, roots: DataFrame, sizes: DataFram
     given = chosen.groupBy("node", "next").agg(F.count("*").alias("given"))
     if short.join(given, ["node", "next"], "left").where("short > coalesce(given, 0)").limit(1).count():
         raise ArithmeticError("a set has too few segments for the pigeonhole principle; use more segments in its band")
+    used = [rooted, placed, by_root, costly, short, chosen]
     searches = lambda n: bounded(chosen.where(F.col("search") == n).select("sig", F.col("node").alias("a"), "mine", "own_weight"))
     higher = (F.col("weight") > F.col("own_weight")) | ((F.col("weight") == F.col("own_weight")) & (F.col("root") < F.col("mine")))
     pairs = (by_root.select("sig", "root", "weight").join(searches(1), "sig").where(higher)
@@ -322,7 +323,10 @@ def residual(near: DataFrame, sets: DataFrame, roots: DataFrame, sizes: DataFram
         less = known(_searched(sets, parts, False).select("sig", "node").join(bounded(probing), "sig"))
         more = known(_searched(sets, parts, True).select(F.col("without").alias("sig"), "node").join(again, "sig"))
         pairs = pairs.unionByName(less).unionByName(more)
-    return _ordered(pairs)
+        used.append(probing)
+    written = saved(_ordered(pairs), "residual")
+    discard(*used)
+    return written
 
 
 def _most_apart(k):
@@ -357,6 +361,7 @@ def join(documents: DataFrame) -> DataFrame:
 
 
 def _links(documents: DataFrame, nodes: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
+    """Links (a, b) that make the components; `shared` and what is written on the way is deleted once it is read."""
     met = shared.groupBy("node").agg(F.sum(F.expr("IF(next, 0, 1)")).alias("met_own"), F.sum(F.expr("IF(next, 1, 0)")).alias("met_next"))
     k = F.greatest(F.lit(1), F.ceil(F.log2(F.col("n").cast("double"))))
     lone = (F.col("own") - F.col("met_own") > _most_apart(k)) & (F.col("next").isNull() | (F.col("next") - F.col("met_next") > _most_apart(k + 1)))
@@ -367,20 +372,27 @@ def _links(documents: DataFrame, nodes: DataFrame, shared: DataFrame, parts: int
     near = shared.join(bounded(live.select("node")), "node", "left_semi")
     least = near.groupBy("sig").agg(F.min("node").alias("least"), F.count("*").alias("times")).where("times > 1")
     near = saved(near.join(least, "sig").select("sig", "node", "next", "least", "times"), "near")
+    discard(shared)
     stars = near.where("node != least").groupBy(F.col("node").alias("b"), F.col("least").alias("a")).agg(F.count("*").alias("n"))
     best = stars.groupBy("b").agg(F.max_by("a", "n").alias("a"))
     links = saved(verified(best.select("a", "b"), sets), "star-links")
-    turn = 0
+    used, turn = [links], 0
     while True:
         roots = saved(components(links), "star-roots")
+        discard(*used)
         looks = saved(dealt(near, roots, turn), "looks")
         found = saved(verified(looks, sets), "look-links")
         asking, finding = looks.select("b").distinct().count(), found.select("b").distinct().count()
         links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found)
+        discard(looks)
+        used = [roots, found]
         if finding <= PAYS * asking:
             break
         turn += 1
     links = saved(links, "dealt-links")
+    discard(*used)
     roots = saved(components(links), "dealt-components")
-    pairs = saved(residual(near.select("sig", "node", "next"), sets, roots, live.select("node", "n", "own", "next"), parts), "residual")
-    return links.unionByName(saved(verified(pairs, sets), "residual-links"))
+    pairs = residual(near.select("sig", "node", "next"), sets, roots, live.select("node", "n", "own", "next"), parts)
+    last = saved(verified(pairs, sets), "residual-links")
+    discard(near, pairs, sets, live, roots)
+    return links.unionByName(last)

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20
 #: Of rows with a few numbers each.
 BROADCAST_ROWS = 1_000_000
+#: Spark's own setting: shuffle files go when the query that wrote them ends, not when the driver next collects garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,9 +31,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write a table into the shared folder and read it: lineage ends here, and a lost executor loses nothing."""
+    """Write a table into the shared folder and read it: lineage ends here, and a lost executor loses nothing.
+
+    The shuffle files of the write are not needed again and are removed with it.
+    """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, None)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(SHUFFLE_CLEANUP) if before is None else conf.set(SHUFFLE_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
