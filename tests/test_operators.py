@@ -266,3 +266,11 @@ def test_sampling_is_repeatable(spark):
     first = {r.k for r in lift.sampled_rows(df, ["k"], 7, fraction=0.25).collect()}
     assert first == {r.k for r in lift.sampled_rows(df.repartition(7), ["k"], 7, fraction=0.25).collect()}
     assert 400 < len(first) < 600 and lift.sampled_rows(df, ["k"], 7, rows=100).count() == 100
+
+
+@pytest.mark.parametrize("model, name", [
+    ("ipad pro 11 11", "apple ipad pro 11 gen11"), ("ipad pro 13 13", "apple ipad pro 13 gen13"), ("ipad air 5 5", "apple ipad air 5 gen5"),
+    ("Watch 42 42mm", "apple watch 42"), ("iphone iphone 12", "apple iphone 12")])
+def test_an_equal_generation_is_no_repetition(spark, model, name):
+    row = device_names.clean_devices(frame(spark, [(1, "apple", model)], "tac int, device_brand string, device_model string")).first()
+    assert row.device_name == name
