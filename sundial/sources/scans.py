@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,19 +25,40 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", skip_corrup
 
 
 def skipped_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Files of a folder that give no row when corrupt ones are skipped: column `file`, the path without its scheme.
+    """Files of a folder that give no row because they cannot be read: column `file`, the path without its scheme.
 
-    Every column of every row is read, so a file that only breaks at a late column is found too; a sound file without rows is also
-    listed, an empty one is not. Names starting with _ or . are no data.
+    Every column of every row is read, so a file that only breaks at a late column is found too. Sound files without rows, such as a
+    writer's empty first part, and empty ones are not listed: what gave no row is read again without passing over errors. Names starting
+    with _ or . are no data.
     """
     rows = read_table(spark, path, fmt, skip_corrupt=True)
-    plain = lambda c: F.url_decode(F.regexp_replace(F.regexp_replace(c, r"\+", "%2B"), "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/"))
+    scheme = "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*"
+    plain = lambda c: F.url_decode(F.regexp_replace(F.regexp_replace(c, r"\+", "%2B"), scheme, "/"))
     whole = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
     read = rows.select(plain(F.col("_metadata.file_path")).alias("file"), whole.alias("h")).groupBy("file").agg(F.bit_xor("h").alias("h"))
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.col("path"))
-    listed = listed.filter(~F.element_at(F.split("path", "/"), -1).rlike("^[_.]")).select(
-        F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/").alias("file"))
-    return listed.join(read.select("file"), "file", "left_anti")
+    listed = listed.filter(~F.element_at(F.split("path", "/"), -1).rlike("^[_.]")).select("path", F.regexp_replace("path", scheme, "/").alias("file"))
+    without_rows = listed.join(read.select("file"), "file", "left_anti").select("path", "file").collect()
+    broken = set(_unreadable([r.path for r in without_rows], rows, fmt))
+    return spark.createDataFrame([(r.file,) for r in without_rows if r.path in broken], "file string")
+
+
+def _unreadable(paths: list[str], table: DataFrame, fmt: str) -> list[str]:
+    """Those of the files that a strict read fails on; sound ones are passed many at a time, by halving."""
+    if not paths:
+        return []
+    reader = table.sparkSession.read.format(fmt).schema(table.schema).option("ignoreCorruptFiles", "false")
+    try:
+        strict = reader.load([re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths])
+        strict.agg(F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in strict.columns]))).collect()
+        return []
+    except (PySparkException, Py4JJavaError) as error:  # a failed task's error comes as the JVM's own
+        if "FAILED_READ_FILE" not in str(error):
+            raise
+        if len(paths) == 1:
+            return paths
+    half = len(paths) // 2
+    return _unreadable(paths[:half], table, fmt) + _unreadable(paths[half:], table, fmt)
 
 
 def after_until(df: DataFrame, start: DateLike, end: DateLike, date: str = "date") -> DataFrame:

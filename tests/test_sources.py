@@ -108,3 +108,18 @@ def test_files_without_a_bound_keep_their_tasks(spark, tmp_path):
     assert len(list((tmp_path / "five").glob("part-*"))) == 5
     sinks.write_files(spark.range(0, 100, 1, 5), str(tmp_path / "two"), 2)
     assert len(list((tmp_path / "two").glob("part-*"))) == 2
+
+
+def test_sound_files_without_rows_are_not_named(spark, tmp_path):
+    folder = tmp_path / "t [x] {y}"
+    # the first task writes its file even without a row
+    sinks.write_files(spark.range(0, 100, 1, 5).filter("id >= 20"), str(tmp_path / "plain"))
+    assert len(list((tmp_path / "plain").glob("part-*"))) == 5
+    assert scans.skipped_files(spark, str(tmp_path / "plain")).collect() == []
+    folder.mkdir()
+    for part in (tmp_path / "plain").glob("part-*"):
+        (folder / part.name).write_bytes(part.read_bytes())
+    broken = sorted(folder.glob("part-*"))[3]
+    broken.write_bytes(b"no table")
+    escaped = str(folder).replace("[", "\\[").replace("]", "\\]").replace("{", "\\{").replace("}", "\\}")
+    assert [r.file for r in scans.skipped_files(spark, escaped).collect()] == [str(broken)]
