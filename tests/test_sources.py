@@ -1,7 +1,9 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from sundial.operators import ordering
 from sundial.sources import feeds, scans, sinks
 from sundial.streaming import increments
 
@@ -123,3 +125,17 @@ def test_sound_files_without_rows_are_not_named(spark, tmp_path):
     broken.write_bytes(b"no table")
     escaped = str(folder).replace("[", "\\[").replace("]", "\\]").replace("{", "\\{").replace("}", "\\}")
     assert [r.file for r in scans.skipped_files(spark, escaped).collect()] == [str(broken)]
+
+
+@pytest.mark.parametrize("files", [1, 3, 5])
+def test_sorted_files_are_made_of_small_sorts_in_order(spark, tmp_path, files):
+    rows = spark.range(0, 30000, 1, 7).select(F.expr("CAST(id * 7919 % 30011 AS BIGINT) AS k"), F.expr("id % 3 AS g"), F.repeat(F.lit("x"), 20).alias("pad"))
+    out = ordering.sorted_for_write(rows, ["g", "k"], files)
+    sizes = out.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+    assert 0 < len(sizes) <= files and out.rdd.getNumPartitions() == files
+    got = [(r.g, r.k) for r in out.collect()]  # partitions one after the other
+    assert got == sorted((r.g, r.k) for r in rows.collect())
+    # the stage that writes a file sorts nothing: its only sort stands before the second shuffle
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("Coalesce") < plan.index("Sort") and plan.count("Sort ") == 1 and plan.count("Exchange") == 2, plan
+    assert max(len(part) for part in out.rdd.glom().collect()) < 2 * 30000 / files
