@@ -16,7 +16,7 @@ from sundial.operators.joins import HOT_ROWS, current_activation, hot_key_join,
 from sundial.operators.sequences import previous_marked_date, recent_rows, switches, top_per_group
 from sundial.operators.sets import statistic_columns
 from sundial.operators.windows import last, last_and_previous
-from sundial.session import cut_lineage
+from sundial.session import KEY_PARTS, cut_lineage, dealt_by_key
 from sundial.sources.scans import after_until, last_weeks, without_days
 
 PHONE = "phone_number"
@@ -48,8 +48,13 @@ def activation_dates(activated: DataFrame, snapshot: DateLike) -> DataFrame:
 
 def activated_history(table: DataFrame, activated: DataFrame, snapshot: DateLike, weeks: int = HISTORY_WEEKS,
                       strict: bool = True, bounded: bool = False) -> DataFrame:
-    """Rows of the look-back that belong to the subscriber's current activation."""
+    """Rows of the look-back that belong to the subscriber's current activation.
+
+    Those of `bounded` tables are dealt by subscriber, for the join and for the windows behind it.
+    """
     rows = after_until(table, as_date(snapshot) - dt.timedelta(weeks=weeks), snapshot)
+    if bounded:
+        rows = dealt_by_key(rows, PHONE)
     return current_activation(rows, activation_dates(activated, snapshot), strict=strict, bounded=bounded)
 
 
@@ -114,7 +119,8 @@ def entity_features(history: DataFrame, names: EntityNames, snapshot: DateLike,
     One aggregate per grain: (subscriber, entity, day) -> (subscriber, entity) -> subscriber. The
     pair table is kept, as both the subscriber counts and the features read it. The
     overlap ratios are counts of entities present in both, either or only the current span, so no
-    set is ever collected, and all statistics combine before the shuffle.
+    set is ever collected. The last shuffle moves pairs, as the buffers of all statistics are
+    many times wider than a pair.
     """
     pairs = cut_lineage(pair_activity(history, names, snapshot, weeks))
     shared = shared_counts(pairs, names, weeks)
@@ -134,7 +140,7 @@ def entity_features(history: DataFrame, names: EntityNames, snapshot: DateLike,
     aggregates += [F.expr(f"count({names.entity}) FILTER (WHERE {events}_{w.name} > 0) AS {names.distinct}_{w.name}") for w in last(*weeks)]
     if names.sets:
         aggregates += _overlap_counts(names, weeks[:-1])
-    return rows.groupBy(PHONE).agg(*aggregates)
+    return dealt_by_key(rows, PHONE, parts=KEY_PARTS // 2).groupBy(PHONE).agg(*aggregates)
 
 
 def _overlap_counts(names: EntityNames, weeks: tuple[int, ...]) -> list[Column]:

@@ -274,3 +274,21 @@ def test_sampling_is_repeatable(spark):
 def test_an_equal_generation_is_no_repetition(spark, model, name):
     row = device_names.clean_devices(frame(spark, [(1, "apple", model)], "tac int, device_brand string, device_model string")).first()
     assert row.device_name == name
+
+
+def test_wide_aggregates_and_windows_on_subscribers_are_dealt_over_many_tasks(spark):
+    """The rows are few enough for one task, into which adaptive execution would join them."""
+    snapshot = dt.date(2024, 1, 28)
+    weekly = spark.range(0, 3000, 1, 3).selectExpr("id % 100 AS phone_number", "id % 500 AS imei", "id % 7 AS tac", "id % 3 + 1 AS device_num_day_l1w",
+                                                   "date_sub(DATE'2024-01-28', CAST(7 * (id % 90) AS INT)) AS date")
+    pairs = devices.entity_features(weekly, devices.IMEI, snapshot)
+    assert pairs.count() == 100 and pairs.select(F.spark_partition_id().alias("p")).distinct().count() > 20
+    # the last shuffle moves pairs, not the buffers of all statistics
+    plan = pairs._jdf.queryExecution().sparkPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert "REPARTITION_BY_NUM" in exchanges[0], plan
+    current = weekly.groupBy("phone_number", "date").agg(F.max("tac").alias("tac"))
+    activation = weekly.select("phone_number").distinct().selectExpr("phone_number", "DATE'2020-01-01' AS last_activated_date", "DATE'2024-01-27' AS date")
+    history = devices.activated_history(current, activation, snapshot, strict=False, bounded=True)
+    rows = devices.behaviour_features(history, "tac", "tac", snapshot)
+    assert rows.count() == 100 and rows.select(F.spark_partition_id().alias("p")).distinct().count() > 20
