@@ -59,6 +59,32 @@ def test_nth_smallest_by_class(spark):
     assert sampling.nth_smallest(df.limit(0), F.col("d"), lambda size: 5) == {}
 
 
+def counting(spark):
+    """A column function that changes nothing, and the number of its calls."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def same(x):
+        calls.add(1)
+        return x
+
+    return F.udf(same, "double"), calls
+
+
+def test_rows_are_drawn_once(spark):
+    same, calls = counting(spark)
+    df = spark.range(1000, numPartitions=2).selectExpr("id % 2 AS g", "CAST(id * 7919 % 10007 AS DOUBLE) AS d")
+    got = sampling.nth_smallest(df, same("d").cast("long"), lambda size: size // 3, by="g")
+    assert got == {g: (sorted(i * 7919 % 10_007 for i in range(g, 1000, 2))[165], 1) for g in (0, 1)}
+    assert calls.value == 1000
+
+
+def test_a_fit_reads_its_rows_once(spark, rows):
+    same, calls = counting(spark)
+    train = rows.select(*KEYS, "y", same("good").alias("good"), "poor")
+    model = evaluation.fit_model(train, ["good", "poor"], "y", KEYS, QUICK)
+    assert calls.value == 1500 and model.getNumTrees > 0
+
+
 def test_strategies(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
     take = lambda e, **o: {r.k for r in sampling.experiment_rows(df, ["k"], 5, e, **o).collect()}
