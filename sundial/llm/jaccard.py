@@ -13,6 +13,9 @@ its one-deletion neighbourhood counts twice). That gives, in turn:
 3. What is left is paid for by cost: a segment whose bucket has no member of a larger component is free; then come, by
    price, other buckets and second, one-deletion searches of free segments. Only sets of different components are
    paired, and of two components the smaller one searches.
+4. A set has a centre, the set that shares most with those it meets. Sets of one centre are not paired by bucket: each is
+   known by the elements in which it differs from the centre, and two that link must share so many of these that they meet
+   among their rarest ones (`beside`).
 
 All pairs found are verified on their whole sets. Equal sets are one node throughout, so copies are never paired. A
 component names its smallest doc_id.
@@ -279,22 +282,70 @@ def dealt(near: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
     return met.withColumn("turn", turns).where(F.col("turn") <= LOOKS).select("a", "b")
 
 
-def residual(near: DataFrame, sets: DataFrame, roots: DataFrame, sizes: DataFrame, parts: int) -> DataFrame:
+def central(near: DataFrame) -> DataFrame:
+    """node and centre, written: of the sets that have most in common with others in each bucket of a node, the one met most often."""
+    scores = saved(near.groupBy("node").agg(F.sum("times").alias("score")), "scores")
+    top = near.join(bounded(scores), "node").groupBy("sig").agg(F.max(F.struct("score", "node"))["node"].alias("centre"))
+    met = near.join(top, "sig").groupBy("node", "centre").agg(F.count("*").alias("n"))
+    written = saved(met.groupBy("node").agg(F.max(F.struct("n", "centre"))["centre"].alias("centre")), "centres")
+    discard(scores)
+    return written
+
+
+def from_centre(centres: DataFrame, sets: DataFrame) -> DataFrame:
+    """node, centre, their sizes n and m, and the elements that one of them lacks, for nodes that are not their own centre."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [[np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(c)] for c in ("x", "y")]
+            apart = [np.setxor1d(x, y, assume_unique=True).view(np.int64) for x, y in zip(*own, strict=True)]
+            counts = [pa.array([len(v) for v in side], pa.int64()) for side in own]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("centre"), *counts, pa.array(apart, pa.list_(pa.int64()))], ["node", "centre", "n", "m", "apart"])
+
+    joined = (centres.where("node != centre").join(sets.select("node", F.col("members").alias("x")), "node")
+              .join(sets.select(F.col("node").alias("centre"), F.col("members").alias("y")), "centre"))
+    return joined.select("node", "centre", "x", "y").mapInArrow(run, "node long, centre long, n long, m long, apart array<long>")
+
+
+def beside(differing: DataFrame, asking: DataFrame, rooted: DataFrame) -> DataFrame:
+    """Pairs (a, b) of one centre, a of `asking` and b in a larger component, that may link.
+
+    With u = 7 * elements apart - size, two sets link only if they share t >= (u + u) / 14 of the elements apart, so they have one in
+    common among the first (elements - t + 1) of each, the rarest first. Where t is 0 both are linked with the centre itself.
+    """
+    known = differing.join(rooted, "node").join(asking.withColumn("asks", F.lit(True)), "node", "left").select(
+        "node", "centre", "root", "weight", F.col("asks").isNotNull().alias("asks"), F.size("apart").alias("gap"), (7 * F.size("apart") - F.col("n")).alias("u"), "apart")
+    least = known.groupBy("centre").agg(F.min("u").alias("any"), F.min(F.when(F.col("asks"), F.col("u"))).alias("asking")).where("asking IS NOT NULL")
+    first = lambda other: F.col("gap") + 1 - F.greatest(F.lit(1), F.ceil((F.col("u") + F.col(other)) / 14))
+    rows = saved(known.join(least, "centre").select("node", "centre", "root", "weight", "gap", "u", F.when(F.col("asks"), first("any")).alias("as_a"), first("asking").alias("as_b"),
+                                                    F.explode("apart").alias("element")), "apart")
+    often = rows.groupBy("centre", "element").agg(F.count("*").alias("often"))
+    turn = F.row_number().over(Window.partitionBy("node").orderBy("often", "element"))  # as many rows as the two sets have elements
+    ranked = saved(rows.join(often, ["centre", "element"]).withColumn("turn", turn).where("often > 1 AND turn <= greatest(as_a, as_b)"), "ranked")
+    side = lambda name: ranked.where(f"turn <= as_{name}").select("centre", "element", *[F.col(c).alias(f"{c}_{name}") for c in ("node", "root", "weight", "gap", "u")])
+    larger = "(weight_b > weight_a OR weight_b = weight_a AND root_b < root_a) AND 14 * least(gap_a, gap_b) >= u_a + u_b"
+    written = saved(side("a").join(side("b"), ["centre", "element"]).where(larger).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "beside")
+    discard(rows, ranked)
+    return written
+
+
+def residual(near: DataFrame, sets: DataFrame, roots: DataFrame, sizes: DataFrame, differing: DataFrame, parts: int) -> DataFrame:
     """Pairs of different components that the allocation of some set still has to look at, written.
 
     Of two components the smaller one searches (ties: that with the larger root), so a large one never pays for the
     strangers among its copies. near: signatures that two live sets share; roots: components so far; sizes: node, n and the
-    number of signatures in the own and next band.
+    number of signatures in the own and next band; differing: what sets have apart from their centres, with which they are linked.
     """
     weight = roots.groupBy("root").agg(F.count("*").alias("weight"))
     rooted = saved(sizes.select("node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(weight, "root", "left")
                    .select("node", "root", F.coalesce("weight", F.lit(1)).alias("weight")), "rooted")
     few = bounded(rooted)
-    placed = saved(near.join(few, "node"), "placed")
+    centres = bounded(saved(differing.select("node", "centre"), "centred"))
+    placed = saved(near.join(few, "node").join(centres, "node", "left").withColumn("centre", F.coalesce("centre", "node")), "placed")
     by_root = placed.groupBy("sig", "root", "weight").agg(F.count("*").alias("n"))
     above = Window.partitionBy("sig").orderBy(F.desc("weight"), "root").rowsBetween(Window.unboundedPreceding, -1)  # a row per component
     by_root = saved(by_root.withColumn("cost", F.coalesce(F.sum("n").over(above), F.lit(0))), "by-root")
-    costly = saved(placed.join(by_root.where("cost > 0").select("sig", "root", "cost"), ["sig", "root"]), "costly")
+    costly = saved(placed.drop("centre").join(by_root.where("cost > 0").select("sig", "root", "cost"), ["sig", "root"]), "costly")
     paid = costly.groupBy("node", "next").agg(F.count("*").alias("costly"))
     k = F.greatest(F.lit(1), F.ceil(F.log2(F.col("n").cast("double"))))
     schemes = sizes.select("node", F.explode(F.array(
@@ -313,8 +364,14 @@ def residual(near: DataFrame, sets: DataFrame, roots: DataFrame, sizes: DataFram
     used = [rooted, placed, by_root, costly, short, chosen]
     searches = lambda n: bounded(chosen.where(F.col("search") == n).select("sig", F.col("node").alias("a"), "mine", "own_weight"))
     higher = (F.col("weight") > F.col("own_weight")) | ((F.col("weight") == F.col("own_weight")) & (F.col("root") < F.col("mine")))
-    pairs = (by_root.select("sig", "root", "weight").join(searches(1), "sig").where(higher)
-             .join(placed.select("sig", "root", F.col("node").alias("b")), ["sig", "root"]).select("a", "b"))
+    asking = chosen.where("search = 1").join(centres, "node", "left").select("sig", F.col("node").alias("a"), "mine", "own_weight", F.coalesce("centre", "node").alias("own_centre"))
+    asking = saved(asking, "asking")
+    askers = saved(chosen.where("search = 1").select("node").distinct(), "askers")
+    pairs = (placed.select("sig", "root", "weight", "centre").distinct().join(bounded(asking), "sig").where(higher & (F.col("centre") != F.col("own_centre")))
+             .join(placed.select("sig", "root", "centre", F.col("node").alias("b")), ["sig", "root", "centre"]).select("a", "b"))
+    one_centre = beside(differing, bounded(askers), few)
+    pairs = pairs.unionByName(one_centre)
+    used += [asking, askers, one_centre, centres]
     if chosen.where("search = 2").limit(1).count():
         again = searches(2)
         probing = saved(_searched(sets.join(bounded(short.select("node").distinct()), "node", "left_semi"), parts, True).withColumnRenamed("node", "a")
@@ -389,10 +446,14 @@ def _links(documents: DataFrame, nodes: DataFrame, shared: DataFrame, parts: int
         if finding <= PAYS * asking:
             break
         turn += 1
-    links = saved(links, "dealt-links")
+    centres = central(near)
+    differing = saved(from_centre(centres, sets), "differing")
+    discard(centres)
+    close = differing.where("7 * size(apart) <= n + m").select(F.col("node").alias("a"), F.col("centre").alias("b"))
+    links = saved(links.unionByName(close), "dealt-links")
     discard(*used)
     roots = saved(components(links), "dealt-components")
-    pairs = residual(near.select("sig", "node", "next"), sets, roots, live.select("node", "n", "own", "next"), parts)
+    pairs = residual(near.select("sig", "node", "next"), sets, roots, live.select("node", "n", "own", "next"), differing, parts)
     last = saved(verified(pairs, sets), "residual-links")
-    discard(near, pairs, sets, live, roots)
+    discard(near, pairs, sets, live, roots, differing)
     return links.unionByName(last)
