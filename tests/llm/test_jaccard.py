@@ -70,6 +70,28 @@ def test_components_equal_brute_force(spark, seed, sizes, shared):
     assert got == brute(rows)
 
 
+def test_strangers_near_a_large_group_do_not_meet_all_of_it(spark, monkeypatch):
+    draw = random.Random(3)
+    base = [f"w{draw.randrange(5000)}" for _ in range(150)]
+    rows = []
+    for i in range(160):
+        text = list(base)
+        for at in draw.sample(range(0, 150, 5), i % 9):
+            text[at] = f"x{draw.randrange(5000)}"
+        rows.append((i, " ".join(text)))
+    looked, saved = {}, jaccard.saved
+
+    def counted(df, name):
+        out = saved(df, name)
+        looked[name] = out.count() if name == "residual" else None
+        return out
+
+    monkeypatch.setattr(jaccard, "saved", counted)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == brute(rows) and len({c for _, _, c in got}) > 20
+    assert looked["residual"] < 800  # of 160 * 159 / 2
+
+
 def test_empty_table(spark):
     assert jaccard.join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
