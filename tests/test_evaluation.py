@@ -80,7 +80,7 @@ def test_rows_are_drawn_once(spark):
 
 def test_a_fit_reads_its_rows_once(spark, rows):
     same, calls = counting(spark)
-    train = rows.select(*KEYS, "y", same("good").alias("good"), "poor")
+    train = rows.select(*KEYS, same(F.col("y").cast("double")).alias("y"), "good", "poor")
     model = evaluation.fit_model(train, ["good", "poor"], "y", KEYS, QUICK)
     assert calls.value == 1500 and model.getNumTrees > 0
 
