@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 REMEMBERED = 100_000
+#: Pieces that are merged at once; each takes some kilobytes meanwhile.
+TOGETHER = 4096
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Runs without white space, with at most one blank before them: no piece crosses the border of two runs.
 RUNS = re.compile(rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
@@ -234,7 +236,9 @@ class Codec:
             else:
                 by_size.setdefault((len(raw) - 1).bit_length(), []).append((piece, raw))
         for group in by_size.values():
-            known.update(zip([p for p, _ in group], merge_many([r for _, r in group], self.letters, self.table), strict=True))
+            for at in range(0, len(group), TOGETHER):
+                some = group[at:at + TOGETHER]
+                known.update(zip([p for p, _ in some], merge_many([r for _, r in some], self.letters, self.table), strict=True))
         out = {run: b"".join(map(known.__getitem__, pieces)) for run, pieces in cut.items()}
         for run, ids in out.items():
             self.runs.put(run, ids)

@@ -127,25 +127,31 @@ def described(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, node long, n_shingles long, own int, next int")
 
 
+def packed_by_part(held: list[np.ndarray], owners: list[int], parts: int) -> pa.RecordBatch:
+    """A row for each part: its signatures, 6 bytes each, and their owners, 8 bytes each. held (emptied): the signatures of each owner."""
+    sizes = [len(h) for h in held]
+    sig = np.concatenate(held)
+    held.clear()
+    part = _part(sig, parts).astype(np.uint16)
+    counts = np.bincount(part, minlength=parts)
+    order = np.argsort(part, kind="stable").astype(np.int32)
+    own = np.flatnonzero(counts)
+    ends = np.concatenate([[0], np.cumsum(counts[own])])
+    short = np.ascontiguousarray(sig[order].view(np.uint8).reshape(-1, 8)[:, :6])
+    del sig, part
+    owner = np.repeat(np.array(owners, np.int64), sizes)[order]
+    binary = lambda data, width: pa.Array.from_buffers(pa.binary(), len(own), [None, pa.py_buffer((width * ends).astype(np.int32)), pa.py_buffer(data)])
+    return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), binary(short, 6), binary(owner, 8)], ["part", "sigs", "nodes"])
+
+
 def _blobs(documents: DataFrame, parts: int) -> DataFrame:
     """Signatures of all sets, packed by the part they belong to: 48 bits of signature, and the node with bit 0 set for the next band."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[np.ndarray] = []
+        owners: list[int] = []
         count = 0
-
-        def flushed() -> pa.RecordBatch:
-            sig, owner = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-            part = _part(sig, parts).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            ends = np.cumsum(np.bincount(part, minlength=parts))
-            short = sig[order].view(np.uint8).reshape(-1, 8)[:, :6]
-            owner = owner[order]
-            cuts = [(p, a, b) for p, a, b in zip(range(parts), [0, *ends[:-1].tolist()], ends.tolist(), strict=True) if b > a]
-            return pa.RecordBatch.from_arrays([pa.array([p for p, _, _ in cuts], pa.int32()), pa.array([short[a:b].tobytes() for _, a, b in cuts], pa.binary()),
-                                               pa.array([owner[a:b].tobytes() for _, a, b in cuts], pa.binary())], ["part", "sigs", "nodes"])
-
         for batch in batches:
             for _, _, sets in _sets(batch):
                 for own in sets:
@@ -155,13 +161,14 @@ def _blobs(documents: DataFrame, parts: int) -> DataFrame:
                     seen.add(name)
                     for i, k in enumerate(bands(len(own))):
                         sig, _ = signatures(own, k)
-                        held.append((sig, np.full(len(sig), name | i, np.int64)))
+                        held.append(sig)
+                        owners.append(name | i)
                         count += len(sig)
                 if count >= FLUSH:
-                    yield flushed()
-                    held, count = [], 0
+                    yield packed_by_part(held, owners, parts)
+                    owners, count = [], 0
         if held:
-            yield flushed()
+            yield packed_by_part(held, owners, parts)
 
     return documents.select("text").mapInArrow(run, "part int, sigs binary, nodes binary")
 
@@ -174,7 +181,9 @@ def _shared(blobs: DataFrame, parts: int) -> DataFrame:
         packed[:, :6] = np.frombuffer(b"".join(sigs), np.uint8).reshape(-1, 6)
         sig, owner = packed.view(np.uint64).ravel(), np.frombuffer(b"".join(nodes), np.int64)
         order = np.argsort(sig, kind="stable")
-        same = sig[order][1:] == sig[order][:-1]
+        ordered = sig[order]
+        same = ordered[1:] == ordered[:-1]
+        del ordered
         order = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])] if len(order) else order
         sig, owner = sig[order], owner[order]
         order = np.lexsort((owner, sig))
@@ -199,7 +208,7 @@ def _shared(blobs: DataFrame, parts: int) -> DataFrame:
         if sigs:
             yield found(part, sigs, nodes)
 
-    return blobs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, "sig long, node long, next boolean")
+    return blobs.repartitionById(parts, "part").mapInArrow(run, "sig long, node long, next boolean")
 
 
 def whole_sets(documents: DataFrame) -> DataFrame:

@@ -48,6 +48,15 @@ def test_remembered_runs_are_bounded(monkeypatch):
         assert len(own.runs.new) <= 4 and len(own.runs.old) <= 4
 
 
+def test_few_pieces_are_merged_at_once(monkeypatch):
+    seen, merged = [], bpe.merge_many
+    monkeypatch.setattr(bpe, "merge_many", lambda pieces, *rest: seen.append(len(pieces)) or merged(pieces, *rest))
+    own, expected = bpe.Codec(BPE_RANKS, BPE_PATTERN), reference()
+    text = " ".join(f"zq{i}xk{chr(97 + i % 26)}w{chr(97 + i // 26 % 26)}vq{chr(97 + i // 676 % 26)}jx" for i in range(9000))
+    assert own.encode(text) == expected.encode_ordinary(text)
+    assert 1 < len(seen) and max(seen) <= 4096
+
+
 def test_empty_table_and_taken_names(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.digests(empty, BPE_RANKS, BPE_PATTERN).count() == 0

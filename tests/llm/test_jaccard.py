@@ -1,11 +1,15 @@
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from sundial.llm import components, jaccard
+from sundial.llm.shared import small_batches
 
 
 def shingle_set(text):
@@ -92,6 +96,40 @@ def test_strangers_near_a_large_group_do_not_meet_all_of_it(spark, monkeypatch):
     assert looked["residual"] < 800  # of 160 * 159 / 2
 
 
+def test_parts_are_packed_in_little_memory_and_one_to_a_task(spark):
+    draw, parts = np.random.default_rng(3), 37
+    sizes = draw.integers(1, 2000, 600)
+    held = [draw.integers(0, 1 << 64, n, np.uint64) for n in sizes]
+    owners = draw.integers(0, 1 << 62, len(sizes)).tolist()
+    part = jaccard._part(np.concatenate(held), parts)
+    expected = Counter(zip(part.tolist(), (np.concatenate(held) & np.uint64((1 << 48) - 1)).tolist(), np.repeat(owners, sizes).tolist(), strict=True))
+    tracemalloc.start()
+    try:
+        made = jaccard.packed_by_part(held, owners, parts)
+        assert not held and tracemalloc.get_traced_memory()[1] < 7 * 8 * sizes.sum()
+    finally:
+        tracemalloc.stop()
+    rows = made.to_pylist()
+    found = Counter((r["part"], int.from_bytes(r["sigs"][6 * i:6 * i + 6], "little"), int.from_bytes(r["nodes"][8 * i:8 * i + 8], "little"))
+                    for r in rows for i in range(len(r["nodes"]) // 8))
+    assert found == expected and [r["part"] for r in rows] == sorted(set(part.tolist()))
+
+    documents = spark.createDataFrame([(" ".join(f"w{draw.integers(5000)}" for _ in range(60)),) for _ in range(200)], "text string")
+    dealt = jaccard._blobs(documents, parts).repartitionById(parts, "part")
+    assert dealt.where("spark_partition_id() != part").count() == 0 and dealt.select("part").distinct().count() == parts
+
+
+def test_batches_of_long_rows_are_cut_by_bytes(spark):
+    small_batches(spark)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    found = [r.size for r in spark.range(0, 400, 1, 1).select(F.repeat(F.lit("x"), 50_000).alias("text")).mapInArrow(sizes, "size long").collect()]
+    assert sum(found) >= 400 * 50_000 and max(found) < 5 << 20
+
+
 def test_empty_table(spark):
     assert jaccard.join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
