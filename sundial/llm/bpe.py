@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sundial.llm.shared import keeps, lean
+
 REMEMBERED = 100_000
 #: Pieces that are merged at once; each takes some kilobytes meanwhile.
 TOGETHER = 4096
@@ -273,6 +275,9 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
+keeps("bpe", codec.cache_clear)
+
+
 def _fitting(df: DataFrame, *names: str) -> None:
     taken = [n for n in names if n.lower() in {c.lower() for c in df.columns}]
     if taken:
@@ -292,7 +297,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
                 ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], [*part.schema.names, ids])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
+    return df.mapInArrow(lean(run, "bpe"), T.StructType([*df.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "token_ids", decoded: str = "decoded") -> DataFrame:
@@ -313,7 +318,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "token_ids", decod
                 out = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
                 yield pa.RecordBatch.from_arrays([*part.columns, out], [*part.schema.names, decoded])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(decoded, T.BinaryType())]))
+    return df.mapInArrow(lean(run, "bpe"), T.StructType([*df.schema.fields, T.StructField(decoded, T.BinaryType())]))
 
 
 def digests(documents: DataFrame, path: str, pattern: str) -> DataFrame:

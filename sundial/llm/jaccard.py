@@ -37,10 +37,10 @@ from pyspark.sql import functions as F
 
 from sundial.llm.arrays import STEP, by_text, mixed, shingles, words
 from sundial.llm.components import components
-from sundial.llm.shared import bounded, discard, saved, text_slices
+from sundial.llm.shared import SENT_ROWS, bounded, discard, lean, pieces, saved, text_slices
 
 ROWS_PER_TASK = 1_000_000
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 #: Dealt rounds: members of a cell, partners that a set looks at in a round, and the part of the asking sets that must find one for another round.
 CELL, LOOKS, PAYS = 8, 3, 0.05
 
@@ -124,7 +124,7 @@ def described(documents: DataFrame) -> DataFrame:
                      pa.array([c[0] for c in counts], pa.int32()), pa.array([c[1] if len(c) > 1 else None for c in counts], pa.int32())],
                     ["doc_id", "node", "n_shingles", "own", "next"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, node long, n_shingles long, own int, next int")
+    return documents.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, node long, n_shingles long, own int, next int")
 
 
 def packed_by_part(held: list[np.ndarray], owners: list[int], parts: int) -> pa.RecordBatch:
@@ -144,6 +144,12 @@ def packed_by_part(held: list[np.ndarray], owners: list[int], parts: int) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), binary(short, 6), binary(owner, 8)], ["part", "sigs", "nodes"])
 
 
+def _sent(held: list[np.ndarray], owners: list[int], parts: int) -> Iterator[pa.RecordBatch]:
+    count = sum(map(len, held))
+    whole = packed_by_part(held, owners, parts)
+    return pieces(whole, max(1, whole.num_rows * SENT_ROWS // count))
+
+
 def _blobs(documents: DataFrame, parts: int) -> DataFrame:
     """Signatures of all sets, packed by the part they belong to: 48 bits of signature, and the node with bit 0 set for the next band."""
 
@@ -165,12 +171,12 @@ def _blobs(documents: DataFrame, parts: int) -> DataFrame:
                         owners.append(name | i)
                         count += len(sig)
                 if count >= FLUSH:
-                    yield packed_by_part(held, owners, parts)
+                    yield from _sent(held, owners, parts)
                     owners, count = [], 0
         if held:
-            yield packed_by_part(held, owners, parts)
+            yield from _sent(held, owners, parts)
 
-    return documents.select("text").mapInArrow(run, "part int, sigs binary, nodes binary")
+    return documents.select("text").mapInArrow(lean(run), "part int, sigs binary, nodes binary")
 
 
 def _shared(blobs: DataFrame, parts: int) -> DataFrame:
@@ -200,15 +206,15 @@ def _shared(blobs: DataFrame, parts: int) -> DataFrame:
         for batch in batches:
             for p, s, n in zip(*(batch.column(c).to_pylist() for c in ("part", "sigs", "nodes")), strict=True):
                 if p != part and sigs:
-                    yield found(part, sigs, nodes)
+                    yield from pieces(found(part, sigs, nodes))
                     sigs, nodes = [], []
                 part = p
                 sigs.append(s)
                 nodes.append(n)
         if sigs:
-            yield found(part, sigs, nodes)
+            yield from pieces(found(part, sigs, nodes))
 
-    return blobs.repartitionById(parts, "part").mapInArrow(run, "sig long, node long, next boolean")
+    return blobs.repartitionById(parts, "part").mapInArrow(lean(run), "sig long, node long, next boolean")
 
 
 def whole_sets(documents: DataFrame) -> DataFrame:
@@ -219,7 +225,7 @@ def whole_sets(documents: DataFrame) -> DataFrame:
             for _, _, sets in _sets(batch):
                 yield pa.RecordBatch.from_arrays([pa.array([node(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "members"])
 
-    return documents.select("text").mapInArrow(run, "node long, members binary")
+    return documents.select("text").mapInArrow(lean(run), "node long, members binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -239,7 +245,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     joined = (pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
               .join(sets.select(F.col("node").alias("b"), F.col("members").alias("y")), "b"))
-    return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "x", "y").mapInArrow(lean(run), "a long, b long")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -262,7 +268,7 @@ def _searched(sets: DataFrame, parts: int, removing: bool) -> DataFrame:
                     columns = [_packed(sig, parts), _packed(without, parts) if removing else without, np.full(len(sig), name, np.int64)]
                     yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(np.full(len(sig), bool(i)))], ["sig", "without", "node", "next"])
 
-    return sets.select("node", "members").mapInArrow(run, "sig long, without long, node long, next boolean")
+    return sets.select("node", "members").mapInArrow(lean(run), "sig long, without long, node long, next boolean")
 
 
 def _part(sig: np.ndarray, parts: int) -> np.ndarray:
@@ -313,7 +319,7 @@ def from_centre(centres: DataFrame, sets: DataFrame) -> DataFrame:
 
     joined = (centres.where("node != centre").join(sets.select("node", F.col("members").alias("x")), "node")
               .join(sets.select(F.col("node").alias("centre"), F.col("members").alias("y")), "centre"))
-    return joined.select("node", "centre", "x", "y").mapInArrow(run, "node long, centre long, n long, m long, apart array<long>")
+    return joined.select("node", "centre", "x", "y").mapInArrow(lean(run), "node long, centre long, n long, m long, apart array<long>")
 
 
 def beside(differing: DataFrame, asking: DataFrame, rooted: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sundial.llm.shared import text_slices
+from sundial.llm.shared import lean, text_slices
 
 WINDOW = 128
 ROWS = 2048
@@ -248,7 +248,7 @@ def predict(df: DataFrame, model: Model | None, keep: list[str], text: str = "te
                 columns = [pa.array(names, pa.string()), pa.array(scores), pa.array(shares)]
                 yield pa.RecordBatch.from_arrays([part.column("__kept"), *columns], ["__kept", "__language", "__score", "__share"])
 
-    found = own.mapInArrow(run, schema)
+    found = own.mapInArrow(lean(run), schema)
     return found.select(*[F.col("__kept").getField(c).alias(c) for c in keep], *[F.col(c).alias(n) for c, n in zip(("__language", "__score", "__share"), results, strict=True)])
 
 

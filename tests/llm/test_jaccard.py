@@ -1,5 +1,7 @@
 import random
 import re
+import subprocess
+import sys
 import tracemalloc
 from collections import Counter, defaultdict
 
@@ -8,8 +10,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sundial.llm import components, jaccard
-from sundial.llm.shared import small_batches
+from sundial.llm import bpe, components, jaccard
+from sundial.llm.queries import BPE_PATTERN, BPE_RANKS
+from sundial.llm.shared import lean, small_batches
 
 
 def shingle_set(text):
@@ -130,6 +133,61 @@ def test_batches_of_long_rows_are_cut_by_bytes(spark):
     assert sum(found) >= 400 * 50_000 and max(found) < 5 << 20
 
 
+class Taken:
+    """Stands for a DataFrame; holds the function that the tasks run."""
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+    def select(self, *_):
+        return self
+
+    repartitionById = select
+
+
+def test_a_worker_holds_no_freed_memory_after_a_task():
+    own = """
+import re, numpy as np
+from pathlib import Path
+from sundial.llm.shared import lean
+last = []
+def run(batches):
+    rows = [np.ones(8000) for _ in range(1500)]
+    last.append(np.ones(8000))  # lies above them
+    del rows
+    yield from batches
+held = lambda: int(re.search(r"Anonymous:\\s+(\\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) // 1024
+before = held()
+list(run([]))
+plain = held() - before
+list(lean(run)([]))
+print(plain, held() - before)
+"""
+    found = subprocess.run([sys.executable, "-c", own], capture_output=True, text=True, check=True, env={"PYTHONPATH": ":".join(sys.path), "OMP_NUM_THREADS": "1"})
+    plain, given_back = map(int, found.stdout.split())
+    assert plain > 80 and given_back < 20
+
+
+def test_other_operators_caches_go_when_a_task_begins():
+    bpe.codec(BPE_RANKS, BPE_PATTERN)
+    list(lean(iter, "bpe")([]))
+    assert bpe.codec.cache_info().currsize
+    list(lean(iter)([]))
+    assert not bpe.codec.cache_info().currsize
+
+
+def test_tasks_send_small_batches():
+    draw = np.random.default_rng(2)
+    sig = draw.integers(0, 1 << 48, 300_000, np.uint64)
+    packed = jaccard.packed_by_part([sig, sig.copy()], [2, 4], 1)
+    sent = list(jaccard._shared(Taken(), 1).run([packed]))
+    assert sum(map(len, sent)) == 600_000 and max(map(len, sent)) <= 1 << 16
+    texts = pa.RecordBatch.from_pydict({"text": [" ".join(map(str, draw.integers(0, 90_000, 300))) for _ in range(700)]})
+    blobs = list(jaccard._blobs(Taken(), 40).run([texts]))
+    assert len(blobs) > 1 and max(b.nbytes for b in blobs) < 2 << 20
+
+
 def test_empty_table(spark):
     assert jaccard.join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
